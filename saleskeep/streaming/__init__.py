@@ -1,0 +1,4 @@
+"""Nothing streams here: the work is a daily batch.
+
+The batch functions take and return DataFrames, so ``foreachBatch`` can call them unchanged.
+"""
