@@ -26,8 +26,26 @@ SOURCE_FIELDS = (
 SOURCE_COLUMNS = tuple(name for name, _, _, _ in SOURCE_FIELDS)
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_KINDS = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(12,2)": T.DecimalType(12, 2),
+    "decimal(14,2)": T.DecimalType(14, 2),
+    "decimal(18,2)": T.DecimalType(18, 2),
+    "decimal(37,4)": T.DecimalType(37, 4),
+}
+
+
+def _schema(columns: str, **nested: T.StructType) -> T.StructType:
+    """Schema from "name kind, ..."; works without a session, unlike parsing DDL."""
+    schema = T.StructType()
+    for name, kind in (column.split() for column in columns.split(", ")):
+        schema.add(name, nested.get(kind) or _KINDS[kind])
+    return schema
 
 
 SALES_SCHEMA = _schema(", ".join(f"{name} {kind}" for name, kind, _, _ in SOURCE_FIELDS))
@@ -49,9 +67,8 @@ EVALUATED_SCHEMA = _schema(
     "raw_row_key bigint, id_venta bigint, fecha_venta date, producto string, categoria string, "
     "region string, cantidad int, precio_unitario decimal(12,2), total_venta decimal(14,2), "
     "batch_id string, ingestion_timestamp timestamp_ntz, dq_errors string, es_valido boolean, "
-    "original struct<id_venta:string, fecha_venta:string, producto:string, categoria:string, "
-    "region:string, cantidad:string, precio_unitario:string>, "
-    "importe_fila decimal(37,4), id_usual boolean"
+    "original sale, importe_fila decimal(37,4), id_usual boolean",
+    sale=SALES_TEXT_SCHEMA,
 )
 EVALUATED_COLUMNS = tuple(EVALUATED_SCHEMA.names[:13])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -141,19 +142,27 @@ def content_digest(rows: DataFrame) -> DataFrame:
     order nor file layout matters, every row and its repetition does, and nothing is gathered
     in one place. A NULL differs from an empty text.
     """
+    hashed = rows.select(row_hash(rows.columns).alias("_hash"))
+    return hashed.agg(F.count("*").alias("record_count"), combined_hash().alias("sha256"))
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """SHA-256 of a row as text."""
     cells = [
         F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("~"))
-        for name in rows.columns
+        for name in columns
     ]
-    hashed = rows.select(F.sha2(F.concat_ws("\x1f", *cells), 256).alias("h"))
+    return F.sha2(F.concat_ws("\x1f", *cells), 256)
+
+
+def combined_hash() -> Column:
+    """Aggregate of the row hashes in ``_hash``."""
     slices = [
-        F.sum(F.conv(F.substring("h", at, 16), 16, 10).cast("decimal(20,0)")).cast("string")
+        F.sum(F.conv(F.substring("_hash", at, 16), 16, 10).cast("decimal(20,0)")).cast("string")
         for at in (1, 17, 33, 49)
     ]
-    total = F.concat_ws(
-        ":", F.count("*").cast("string"), *(F.coalesce(part, F.lit("0")) for part in slices)
-    )
-    return hashed.agg(F.count("*").alias("record_count"), F.sha2(total, 256).alias("sha256"))
+    parts = (F.coalesce(part, F.lit("0")) for part in slices)
+    return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *parts), 256)
 
 
 def manifest(
@@ -168,17 +177,17 @@ def manifest(
 
     The extraction time is the one the batch id names, or ``extracted_at``.
     """
-    text = landed.select(*SOURCE_COLUMNS)
     amount = F.col("cantidad").try_cast("decimal(18,4)") * F.col("precio_unitario").try_cast(
         "decimal(18,4)"
     )
-    total = text.agg(F.coalesce(F.sum(amount), F.lit(0)).alias("amount")).withColumn(
-        "batch_id", F.lit(batch_id)
+    facts = landed.select(row_hash(SOURCE_COLUMNS).alias("_hash"), amount.alias("amount")).agg(
+        F.count("*").alias("record_count"),
+        F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
+        combined_hash().alias("sha256"),
     )
-    facts = content_digest(text).withColumn("batch_id", F.lit(batch_id))
     instant = F.coalesce(batch_instant(F.lit(batch_id)), extracted_at).cast("string")
-    return facts.join(total, "batch_id").select(
-        "batch_id",
+    return facts.select(
+        F.lit(batch_id).alias("batch_id"),
         F.lit(source_system).alias("source_system"),
         F.lit(schema_version).alias("schema_version"),
         F.concat(F.replace(instant, F.lit(" "), F.lit("T")), F.lit("+00:00")).alias(

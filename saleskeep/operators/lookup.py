@@ -28,7 +28,12 @@ class Lookup:
 
     @classmethod
     def measured(cls, df: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> Lookup:
-        return cls(df, key, df.count() <= limit)
+        return cls.bounded(df, key, df.count(), limit)
+
+    @classmethod
+    def bounded(cls, df: DataFrame, key: str, rows: int, limit: int = BROADCAST_ROWS) -> Lookup:
+        """For a caller that knows how many rows there can be at most."""
+        return cls(df, key, rows <= limit)
 
 
 def lookup_join(

@@ -35,7 +35,7 @@ def kpi_cards(
         # Published sale ids are unique, so counting them is counting distinct ones.
         F.count("id_venta").alias("numero_ventas"),
     )
-    ticket = F.try_divide("total_ventas", "numero_ventas").cast("double")
+    ticket = F.try_divide(F.col("total_ventas").cast("double"), F.col("numero_ventas"))
     return cards.withColumn("ticket_promedio", F.round(ticket, 6))
 
 

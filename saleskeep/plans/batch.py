@@ -114,7 +114,8 @@ def process_batch(
         raise BatchError(f"batch {batch_id} writes one sale id in several ways")
 
     # From here on the batch counts as unfinished, until its control row is written.
-    store.clear_batch("etl_control", batch_id)
+    if not store.read("etl_control", batch_id).isEmpty():
+        store.clear_batch("etl_control", batch_id)
     store.replace_batch("dq_rechazos", rejects(evaluated, instant(now)), batch_id)
     valid = valid_rows(evaluated)
     product_buckets = 1 if catalogs.products.fits else PRODUCT_KEY_BUCKETS
@@ -208,8 +209,8 @@ def run_daily_batch(
 def initialize(
     spark: SparkSession, base: str, products: DataFrame, regions: DataFrame
 ) -> Store:
-    """Create the warehouse tables and load the catalogs."""
-    store = Store(spark, base).create()
+    """A warehouse under a base folder, with its catalogs loaded."""
+    store = Store(spark, base)
     store.replace("productos", products)
     store.replace("regiones", regions)
     return store

@@ -50,9 +50,14 @@ def seed_regions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(name, True) for name in SEED_REGIONS], REGION_CATALOG_SCHEMA)
 
 
-def read_catalog_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Priced products and regions of a nested catalog document."""
-    document = spark.read.schema(CATALOG_JSON).option("multiLine", True).json(path)
+def read_catalog_json(
+    spark: SparkSession, path: str, multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Priced products and regions of a nested catalog document.
+
+    Without ``multi_line`` the document is a file with one part of the catalog on each line.
+    """
+    document = spark.read.schema(CATALOG_JSON).option("multiLine", multi_line).json(path)
     products = document.select(F.explode("products").alias("p")).select("p.*")
     regions = document.select(F.explode("regions").alias("region"))
     return products, regions
@@ -128,7 +133,7 @@ class Catalogs:
             .distinct()
             .select("_categoria", known)
         )
-        return cls._measured(by_product, by_region, by_category)
+        return cls._measured(by_product, by_region, by_category, current, regions)
 
     @classmethod
     def exact(cls, products: DataFrame, regions: DataFrame) -> Catalogs:
@@ -146,17 +151,24 @@ class Catalogs:
             .distinct()
             .withColumn("categoria_conocida", F.lit(True))
         )
-        return cls._measured(by_product, by_region, by_category)
+        return cls._measured(by_product, by_region, by_category, products, regions)
 
     @classmethod
     def _measured(
-        cls, products: DataFrame, regions: DataFrame, categories: DataFrame
+        cls,
+        by_product: DataFrame,
+        by_region: DataFrame,
+        by_category: DataFrame,
+        products: DataFrame,
+        regions: DataFrame,
     ) -> Catalogs:
-        by_product = Lookup.measured(products, "_producto")
-        # There are no more categories than products.
-        by_category = (
-            Lookup(categories, "_categoria", True)
-            if by_product.fits
-            else Lookup.measured(categories, "_categoria")
+        # A catalog has no more keys than entries, and no more categories than products.
+        entries = products.count()
+        product_keys = Lookup.bounded(by_product, "_producto", entries)
+        return cls(
+            product_keys,
+            Lookup.bounded(by_region, "_region", regions.count()),
+            Lookup(by_category, "_categoria", True)
+            if product_keys.fits
+            else Lookup.measured(by_category, "_categoria"),
         )
-        return cls(by_product, Lookup.measured(regions, "_region"), by_category)
