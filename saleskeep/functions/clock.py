@@ -67,6 +67,15 @@ def business_date(utc: Column) -> Column:
     return business_time(utc).cast("date")
 
 
+def after_business_day(day: Column, utc: Column) -> Column:
+    """Whether a date lies after the business day of an instant.
+
+    The business day is at most one day before the UTC day, so earlier dates are decided
+    without converting the instant.
+    """
+    return (day >= utc.cast("date")) & (day > business_date(utc))
+
+
 def batch_id_of(utc: Column) -> Column:
     """Default batch id of each instant of a column."""
     digits = F.translate(F.substring(business_time(utc).cast("string"), 1, 19), " -:", "-")

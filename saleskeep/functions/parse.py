@@ -18,7 +18,7 @@ def any_decimal(text: Column) -> Column:
 
 def dashed_date(text: Column) -> Column:
     """Date written exactly as yyyy-mm-dd."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return F.when(text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
 
 
 def iso_date(text: Column) -> Column:

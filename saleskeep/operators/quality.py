@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleskeep.contract import EVALUATED_SCHEMA, SOURCE_COLUMNS
-from saleskeep.functions.clock import business_date
+from saleskeep.functions.clock import after_business_day
 from saleskeep.functions.parse import dashed_date, plain_decimal
 from saleskeep.functions.text import filled, match_key
 from saleskeep.operators.lookup import HOT_ROWS, Lookup, lookup_join
@@ -84,7 +84,7 @@ def rule_failures() -> dict[str, Column]:
                 F.col("id_typed").isNull(),
                 F.col("id_count") > 1,
                 F.col("fecha_typed").isNull()
-                | (F.col("fecha_typed") > business_date(F.col("ingestion_timestamp"))),
+                | after_business_day(F.col("fecha_typed"), F.col("ingestion_timestamp")),
                 blank[0] | blank[1] | blank[2],
                 F.col("cantidad_typed").isNull() | (F.col("cantidad_typed") <= 0),
                 F.col("precio_typed").isNull() | (F.col("precio_typed") <= 0),
@@ -109,8 +109,13 @@ def evaluate(prepared: DataFrame, strict: bool = True) -> DataFrame:
     )
     total = F.col("cantidad_typed") * F.col("precio_typed")
     line_total = total.cast("decimal(14,2)") if strict else total.try_cast("decimal(14,2)")
-    raw_amount = plain_decimal(F.col("cantidad"), 18, 2) * plain_decimal(
-        F.col("precio_unitario"), 18, 2
+    # What has been read already need not be parsed again.
+    money = "decimal(18,2)"
+    quantity = F.coalesce(
+        F.col("cantidad_typed").cast(money), plain_decimal(F.col("cantidad"), 18, 2)
+    )
+    price = F.coalesce(
+        F.col("precio_typed").cast(money), plain_decimal(F.col("precio_unitario"), 18, 2)
     )
     judged = prepared.withColumn("dq_errors", errors)
     valid = F.col("dq_errors") == ""
@@ -130,7 +135,7 @@ def evaluate(prepared: DataFrame, strict: bool = True) -> DataFrame:
         "dq_errors": F.col("dq_errors"),
         "es_valido": valid,
         "original": F.when(~valid, original),
-        "importe_fila": raw_amount.cast("decimal(37,4)"),
+        "importe_fila": (quantity * price).cast("decimal(37,4)"),
         "id_usual": F.trim("id_venta") == F.col("id_typed").cast("string"),
     }
     return judged.select(*(columns[name].alias(name) for name in EVALUATED_SCHEMA.names))
