@@ -242,7 +242,7 @@ def fact_sales(w: Warehouse) -> DataFrame:
     keys = star.DimensionKeys.measured(
         w.mart.dates.df, w.mart.products.df, w.mart.regions.df
     )
-    facts = star.fact_rows(valid(w), keys, instant(CLOCK))
+    facts = star.fact_rows(valid(w), None, keys, instant(CLOCK))
     mart = Mart(facts, w.mart.dates, w.mart.products, w.mart.regions)
     return mart.flat("id_venta", "fecha", "producto", "categoria", "region", "cantidad",
                      "precio_unitario", "total_venta", "batch_id", "fecha_carga")

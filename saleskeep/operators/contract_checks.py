@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from saleskeep.contract import SOURCE_FIELDS
 from saleskeep.functions.parse import dashed_date, plain_decimal
 from saleskeep.functions.text import filled
-from saleskeep.operators.lookup import lookup_join
-from saleskeep.operators.quality import with_repeats
+from saleskeep.operators.quality import catalog_keys, with_catalogs, with_repeats
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.workspace import Workspace
 
@@ -22,20 +21,12 @@ def field_findings(
     ``rows`` are staged text rows and ``catalogs`` come from :meth:`Catalogs.exact`. A row
     without a value is not counted again under type or rule.
     """
-    counted = with_repeats(
-        rows.select("raw_row_key", *(name for name, *_ in SOURCE_FIELDS)),
-        F.coalesce(filled(F.col("id_venta")), F.lit("")),
-        "_id",
-        workspace,
+    text = rows.select("raw_row_key", *(name for name, *_ in SOURCE_FIELDS))
+    sale_id = F.coalesce(filled(F.col("id_venta")), F.lit(""))
+    counted = with_repeats(text, sale_id, "_id", workspace)
+    keyed = with_catalogs(
+        counted.select("*", *catalog_keys(filled)), text.select(*catalog_keys(filled)), catalogs
     )
-    keyed = counted.select(
-        "*",
-        filled(F.col("producto")).alias("_producto"),
-        filled(F.col("categoria")).alias("_categoria"),
-        filled(F.col("region")).alias("_region"),
-    )
-    for lookup in (catalogs.products, catalogs.regions, catalogs.categories):
-        keyed = lookup_join(keyed, lookup, ["raw_row_key"])
 
     def typed(name: str, kind: str) -> Column:
         text = filled(F.col(name))

@@ -41,7 +41,9 @@ def lookup_join(
     lookup: Lookup,
     spread: Sequence[str],
     how: str = "left",
+    *,
     weights: DataFrame | None = None,
+    counted: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join rows to a lookup on its key, whatever the lookup's size and the key's skew.
@@ -49,14 +51,18 @@ def lookup_join(
     A lookup that fits is broadcast. Otherwise both sides are shuffled on the key plus a
     salt: zero for most keys; for a hot key the rows take a salt from the ``spread`` columns
     (their content, so a repeated task routes them the same way) and the lookup row is copied
-    once per salt. Rows without a key are spread as well. ``weights`` holds the rows per key
-    in a column ``n`` where the caller has counted them already.
+    once per salt. Rows without a key are spread as well.
+
+    To find the hot keys the rows are counted per key. Where ``rows`` are the result of other
+    joins, ``counted`` names a cheaper frame with the same key column, or ``weights`` holds the
+    counts already made, in a column ``n``. Only the placing of rows depends on them.
     """
     key = lookup.key
     if lookup.fits:
         return rows.join(F.broadcast(lookup.df), key, how)
     if weights is None:
-        weights = rows.groupBy(key).agg(F.count("*").alias("n"))
+        source = rows if counted is None else counted
+        weights = source.groupBy(key).agg(F.count("*").alias("n"))
     hot = weights.filter(F.col("n") > hot_rows).select(key, F.lit(True).alias("_hot"))
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
     every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))

@@ -61,7 +61,9 @@ class Mart:
         wanted = columns or FLAT_COLUMNS
         rows = self.fact
         for dimension in self._needed(wanted):
-            rows = lookup_join(rows, dimension, ["id_venta"], how="inner", hot_rows=hot_rows)
+            rows = lookup_join(
+                rows, dimension, ["id_venta"], "inner", counted=self.fact, hot_rows=hot_rows
+            )
         return rows.select(*wanted)
 
     def totals(self, *by: str) -> DataFrame:

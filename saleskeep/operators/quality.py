@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,14 +66,23 @@ def prepare(
         F.trim("cantidad").try_cast("int").alias("cantidad_typed"),
         plain_decimal(F.trim("precio_unitario"), 12, 2).alias("precio_typed"),
         F.coalesce("n", F.lit(1)).cast("bigint").alias("id_count"),
-        match_key(F.col("producto")).alias("_producto"),
-        match_key(F.col("categoria")).alias("_categoria"),
-        match_key(F.col("region")).alias("_region"),
+        *catalog_keys(match_key),
     )
-    matched = typed
+    return with_catalogs(typed, staged.select(*catalog_keys(match_key)), catalogs, hot_rows)
+
+
+def catalog_keys(clean: Callable[[Column], Column]) -> list[Column]:
+    """The three catalog keys of a row, cleaned in the dialect's way."""
+    return [clean(F.col(name)).alias(f"_{name}") for name in ("producto", "categoria", "region")]
+
+
+def with_catalogs(
+    rows: DataFrame, counted: DataFrame, catalogs: Catalogs, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add the catalog matches of keyed rows; ``counted`` holds the same keys, read cheaply."""
     for lookup in (catalogs.products, catalogs.regions, catalogs.categories):
-        matched = lookup_join(matched, lookup, ["raw_row_key"], hot_rows=hot_rows)
-    return matched
+        rows = lookup_join(rows, lookup, ["raw_row_key"], counted=counted, hot_rows=hot_rows)
+    return rows
 
 
 def rule_failures() -> dict[str, Column]:

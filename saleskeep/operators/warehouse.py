@@ -38,8 +38,10 @@ def new_products(valid: DataFrame, dim_product: DataFrame) -> DataFrame:
     Of several spellings (and categories) in one batch the smallest is kept.
     """
     current = dim_product.filter("vigente").select(F.lower("producto").alias("_producto"))
+    # Distinct spellings first: they are found by hashing, the smallest text needs a sort.
+    spellings = valid.select("producto", "categoria").distinct()
     return (
-        valid.groupBy(F.lower("producto").alias("_producto"))
+        spellings.groupBy(F.lower("producto").alias("_producto"))
         .agg(F.min("producto").alias("producto"), F.min("categoria").alias("categoria"))
         .join(current, "_producto", "left_anti")
         .select("producto", "categoria")
@@ -49,7 +51,9 @@ def new_products(valid: DataFrame, dim_product: DataFrame) -> DataFrame:
 def new_regions(valid: DataFrame, dim_region: DataFrame) -> DataFrame:
     current = dim_region.filter("vigente").select(F.lower("region").alias("_region"))
     return (
-        valid.groupBy(F.lower("region").alias("_region"))
+        valid.select("region")
+        .distinct()
+        .groupBy(F.lower("region").alias("_region"))
         .agg(F.min("region").alias("region"))
         .join(current, "_region", "left_anti")
         .select("region")
@@ -64,9 +68,9 @@ def keyed_products(products: DataFrame, start: int, buckets: int = 1) -> DataFra
     )
 
 
-def keyed_regions(regions: DataFrame, start: int) -> DataFrame:
-    """Region members with their surrogate keys; valid regions are catalog entries, so few."""
-    keyed = numbered(regions, F.lower("region"), "region_key", start)
+def keyed_regions(regions: DataFrame, start: int, buckets: int = 1) -> DataFrame:
+    """Region members with their surrogate keys, numbered on from ``start``."""
+    keyed = numbered(regions, F.lower("region"), "region_key", start, buckets)
     return keyed.select(F.col("region_key").cast("int"), "region", F.lit(True).alias("vigente"))
 
 
@@ -105,22 +109,26 @@ def unpublished(valid: DataFrame, published: DataFrame) -> DataFrame:
 
 
 def fact_rows(
-    candidates: DataFrame,
+    valid: DataFrame,
+    published: DataFrame | None,
     keys: DimensionKeys,
     loaded_at: Column,
     start: int = 0,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Fact rows of valid, unpublished rows.
+    """Fact rows of the valid rows that are not published yet.
 
     The surrogate key is the row key shifted past the keys in use: unique and repeatable, with
     gaps where rows were rejected, and without a shuffle.
     """
-    rows = candidates.withColumn("_producto", F.lower("producto")).withColumn(
+    keyed = valid.withColumn("_producto", F.lower("producto")).withColumn(
         "_region", F.lower("region")
     )
+    rows = keyed if published is None else unpublished(keyed, published)
     for lookup in (keys.dates, keys.products, keys.regions):
-        rows = lookup_join(rows, lookup, ["raw_row_key"], how="inner", hot_rows=hot_rows)
+        rows = lookup_join(
+            rows, lookup, ["raw_row_key"], "inner", counted=keyed, hot_rows=hot_rows
+        )
     rows = rows.withColumn("venta_key", F.lit(start) + F.col("raw_row_key")).withColumn(
         "fecha_carga", loaded_at
     )

@@ -33,15 +33,14 @@ from saleskeep.operators.warehouse import (
     new_dates,
     new_products,
     new_regions,
-    unpublished,
 )
 from saleskeep.plans.store import Store
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.sources.landing import land_raw, quarantine_json, read_landed, write_document
 from saleskeep.workspace import Workspace
 
-# Groups that number new products when the catalog is too large for one task.
-PRODUCT_KEY_BUCKETS = 4_096
+# Groups that number new members when the catalog is too large for one task.
+KEY_BUCKETS = 4_096
 
 Clock = Callable[[], datetime]
 
@@ -118,8 +117,7 @@ def process_batch(
         store.clear_batch("etl_control", batch_id)
     store.replace_batch("dq_rechazos", rejects(evaluated, instant(now)), batch_id)
     valid = valid_rows(evaluated)
-    product_buckets = 1 if catalogs.products.fits else PRODUCT_KEY_BUCKETS
-    grow_dimensions(store, valid, workspace, product_buckets)
+    grow_dimensions(store, valid, catalogs, workspace)
     # Ids outside the batch's own range are no duplicates of it, whoever published them: the
     # range skips files of the published facts.
     published = store.published().filter(
@@ -129,7 +127,8 @@ def process_batch(
         store.read("dim_fecha"), store.read("dim_producto"), store.read("dim_region")
     )
     facts = fact_rows(
-        unpublished(valid, published),
+        valid,
+        published,
         keys,
         instant(now),
         next_key(store.read("etl_control"), "ultima_venta_key"),
@@ -140,15 +139,24 @@ def process_batch(
 
 
 def grow_dimensions(
-    store: Store, valid: DataFrame, workspace: Workspace, product_buckets: int = 1
+    store: Store, valid: DataFrame, catalogs: Catalogs, workspace: Workspace
 ) -> None:
-    """Append the members that valid rows bring and the dimensions lack."""
+    """Append the members that valid rows bring and the dimensions lack.
+
+    Valid rows name catalog entries only, so a small catalog bounds the new members.
+    """
     dim_date, dim_product = store.read("dim_fecha"), store.read("dim_producto")
     dim_region = store.read("dim_region")
     products = keyed_products(
-        new_products(valid, dim_product), next_key(dim_product, "producto_key"), product_buckets
+        new_products(valid, dim_product),
+        next_key(dim_product, "producto_key"),
+        1 if catalogs.products.fits else KEY_BUCKETS,
+    )
+    regions = keyed_regions(
+        new_regions(valid, dim_region),
+        next_key(dim_region, "region_key"),
+        1 if catalogs.regions.fits else KEY_BUCKETS,
     )
-    regions = keyed_regions(new_regions(valid, dim_region), next_key(dim_region, "region_key"))
     for table, members in (
         ("dim_fecha", new_dates(valid, dim_date)),
         ("dim_producto", products),

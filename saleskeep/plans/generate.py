@@ -1,0 +1,67 @@
+"""A synthetic dataset from its generation to its manifest."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from typing import Any
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from saleskeep.functions.clock import checked_batch_id, instant, utc_now
+from saleskeep.operators.audit import manifest
+from saleskeep.operators.issues import issue_summary, quality_issues
+from saleskeep.plans.batch import initialize, staged
+from saleskeep.plans.store import Store
+from saleskeep.sources.catalog import Catalogs, seed_products, seed_regions
+from saleskeep.sources.landing import write_document
+from saleskeep.sources.sales import read_csv, replace_source, write_csv
+from saleskeep.sources.synth import (
+    DEFAULT_SEED,
+    PROCESSING_DATE,
+    synthetic_sales,
+    with_controlled_errors,
+)
+from saleskeep.workspace import Workspace
+
+
+def generate_dataset(
+    spark: SparkSession,
+    path: str,
+    rows: int = 10_000,
+    seed: int = DEFAULT_SEED,
+    processing_date: date = PROCESSING_DATE,
+    batch_id: str = "BATCH-20260901-001",
+    now: datetime | None = None,
+) -> dict[str, Any]:
+    """Write synthetic sales as CSV with their manifest, issue and invalid-record counts.
+
+    Returns the manifest, which is also written next to the CSV.
+    """
+    checked_batch_id(batch_id)
+    clean = synthetic_sales(spark, rows, seed, processing_date)
+    write_csv(with_controlled_errors(clean, rows, processing_date), path, mode="overwrite")
+    written, clock = read_csv(spark, path), now or utc_now()
+    workspace = Workspace(spark)
+    keyed = workspace.keep(staged(written, batch_id, clock), "generated")
+    catalogs = Catalogs.exact(seed_products(spark), seed_regions(spark))
+    issues = quality_issues(keyed, catalogs, F.lit(processing_date), workspace)
+    facts = manifest(written, batch_id, instant(clock)).first().asDict()
+    document = {**facts, **issue_summary(issues).first().asDict()}
+    write_document(_one_row(spark, document), f"{path.rstrip('/')}.manifest")
+    return document
+
+
+def _one_row(spark: SparkSession, document: dict[str, Any]) -> DataFrame:
+    return spark.createDataFrame([tuple(document.values())], list(document))
+
+
+def initialize_demo(
+    spark: SparkSession, base: str, processing_date: date, rows: int = 10_000
+) -> tuple[Store, str]:
+    """A warehouse with the seed catalogs, and a synthetic source table; returns both places."""
+    store = initialize(spark, base, seed_products(spark), seed_regions(spark))
+    source = f"{store.base}/source/ventas_origen"
+    generate_dataset(spark, f"{source}.csv", rows, processing_date=processing_date)
+    replace_source(spark, f"{source}.csv", source)
+    return store, source

@@ -1,0 +1,28 @@
+import json
+from datetime import UTC, date, datetime
+
+from saleskeep.plans.batch import run_daily_batch
+from saleskeep.plans.generate import generate_dataset, initialize_demo
+from saleskeep.sources.sales import read_csv, scan_sales
+
+DAY = date(2026, 9, 1)
+
+
+def test_generated_dataset_and_manifest(spark, tmp_path):
+    path = str(tmp_path / "ventas.csv")
+    now = datetime(2026, 9, 1, 12, tzinfo=UTC)
+    document = generate_dataset(spark, path, rows=1_000, now=now)
+    assert (document["record_count"], document["quality_issue_count"],
+            document["invalid_record_count"]) == (1_000, 23, 20)
+    assert read_csv(spark, path).count() == 1_000
+    written = "".join(p.read_text() for p in (tmp_path / "ventas.csv.manifest").glob("part-*.json"))
+    assert json.loads(written) == document
+    assert generate_dataset(spark, path, rows=1_000, now=now) == document
+
+
+def test_demo_warehouse_takes_a_batch(spark, tmp_path):
+    store, source = initialize_demo(spark, str(tmp_path / "base"), DAY, rows=100)
+    clock = lambda: datetime(2026, 9, 1, 12, tzinfo=UTC)
+    result = run_daily_batch(store, scan_sales(spark, source), clock=clock)
+    assert result["batch_id"] == "BATCH-20260901-070000"
+    assert (result["valid_count"], result["rejected_count"]) == (80, 20)

@@ -27,7 +27,7 @@ def test_salted_join_equals_the_plain_join(skewed, how, counted):
     weights = rows.groupBy("key").agg(F.count("*").alias("n")) if counted else None
     for lookup in (Lookup.measured(table, "key"), Lookup.measured(table, "key", limit=10)):
         for hot_rows in (1, 50, 10_000):
-            joined = lookup_join(rows, lookup, ["raw_row_key"], how, weights, hot_rows)
+            joined = lookup_join(rows, lookup, ["raw_row_key"], how, weights=weights, hot_rows=hot_rows)
             assert set(joined.columns) == {"raw_row_key", "key", "value"}
             got = joined.select("raw_row_key", "key", "value").collect()
             assert Counter(map(tuple, got)) == expected
