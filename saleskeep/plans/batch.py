@@ -13,7 +13,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleskeep.contract import SCHEMA_VERSION
+from saleskeep.contract import ARTIFACT_SCHEMA, SCHEMA_VERSION
+from saleskeep.frames import small_frame
 from saleskeep.functions.clock import checked_batch_id, date_folder, instant, utc_now
 from saleskeep.operators.audit import (
     batch_control,
@@ -56,8 +57,9 @@ def extract_raw(store: Store, sales: DataFrame, batch_id: str, now: datetime) ->
     raw_uri = f"{store.base}/raw/{folder}/ventas_origen.csv"
     land_raw(spark, sales, raw_uri)
     landed = read_landed(spark, store.base, raw_uri)
-    facts = manifest(landed, batch_id, instant(now)).first()
-    document = spark.createDataFrame([facts])
+    described = manifest(landed, batch_id, instant(now))
+    facts = described.first()
+    document = small_frame(spark, [facts], described.schema)
     manifest_uri = f"{store.base}/manifests/{folder}/manifest.json"
     write_document(document, manifest_uri)
     _log_artifact(store, batch_id, "raw", raw_uri, facts.sha256, facts.record_count)
@@ -76,8 +78,7 @@ def _log_artifact(
     """Record an artifact of a batch next to the batch's other artifacts."""
     kept = store.read("artefactos", batch_id).filter(F.col("artifact") != artifact).collect()
     row = (batch_id, artifact, uri, SCHEMA_VERSION, sha256, records)
-    schema = store.read("artefactos").schema
-    entries = store.spark.createDataFrame([*map(tuple, kept), row], schema)
+    entries = small_frame(store.spark, [*kept, row], ARTIFACT_SCHEMA)
     store.replace_batch("artefactos", entries, batch_id)
 
 
@@ -178,8 +179,8 @@ def export_quarantine(store: Store, batch_id: str, date_prefix: str) -> str:
 
 def reconcile(store: Store, batch_id: str, extracted_count: int) -> dict[str, Any]:
     """Check a batch's counts and state; raises when they do not agree."""
-    extracted = store.spark.createDataFrame(
-        [(batch_id, extracted_count)], "batch_id string, extracted_count bigint"
+    extracted = store.spark.range(1).select(
+        F.lit(batch_id).alias("batch_id"), F.lit(extracted_count).alias("extracted_count")
     )
     return require_reconciled(reconciliation(store.read("etl_control", batch_id), extracted))
 

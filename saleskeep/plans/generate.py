@@ -5,9 +5,10 @@ from __future__ import annotations
 from datetime import date, datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from saleskeep.frames import small_frame
 from saleskeep.functions.clock import checked_batch_id, instant, utc_now
 from saleskeep.operators.audit import manifest
 from saleskeep.operators.issues import issue_summary, quality_issues
@@ -46,14 +47,13 @@ def generate_dataset(
     keyed = workspace.keep(staged(written, batch_id, clock), "generated")
     catalogs = Catalogs.exact(seed_products(spark), seed_regions(spark))
     issues = quality_issues(keyed, catalogs, F.lit(processing_date), workspace)
-    facts = manifest(written, batch_id, instant(clock)).first().asDict()
-    document = {**facts, **issue_summary(issues).first().asDict()}
-    write_document(_one_row(spark, document), f"{path.rstrip('/')}.manifest")
-    return document
-
-
-def _one_row(spark: SparkSession, document: dict[str, Any]) -> DataFrame:
-    return spark.createDataFrame([tuple(document.values())], list(document))
+    counts = issue_summary(issues).first()
+    described = manifest(written, batch_id, instant(clock)).select(
+        "*", *(F.lit(count).cast("bigint").alias(name) for name, count in counts.asDict().items())
+    )
+    facts = described.first()
+    write_document(small_frame(spark, [facts], described.schema), f"{path.rstrip('/')}.manifest")
+    return facts.asDict()
 
 
 def initialize_demo(

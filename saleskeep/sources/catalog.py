@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleskeep.contract import PRODUCT_CATALOG_SCHEMA, REGION_CATALOG_SCHEMA
+from saleskeep.frames import small_frame
 from saleskeep.functions.text import match_key
 from saleskeep.operators.lookup import Lookup
 
@@ -43,11 +44,11 @@ CATALOG_JSON = f"regions array<string>, products array<struct<{PRICED_PRODUCTS}>
 
 def seed_products(spark: SparkSession) -> DataFrame:
     rows = [(name, category, True) for name, category, _, _ in SEED_PRODUCTS]
-    return spark.createDataFrame(rows, PRODUCT_CATALOG_SCHEMA)
+    return small_frame(spark, rows, PRODUCT_CATALOG_SCHEMA)
 
 
 def seed_regions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(name, True) for name in SEED_REGIONS], REGION_CATALOG_SCHEMA)
+    return small_frame(spark, [(name, True) for name in SEED_REGIONS], REGION_CATALOG_SCHEMA)
 
 
 def read_catalog_json(
