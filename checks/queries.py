@@ -362,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "matrix_category_region": on_mart(olap.matrix_category_region),
     "monthly_sales": on_mart(olap.monthly_sales),
     "kpi_cards": on_mart(measures.kpi_cards),
+    "kpis_by_region_month": on_mart(measures.kpi_cards, by=("region", "anio", "mes")),
     "sliced_kpis": on_mart(
         measures.kpi_cards, years=[1997, 1998], categories=["SMALL", "LARGE"], regions=["asia"]
     ),

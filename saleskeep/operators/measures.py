@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleskeep.operators.keys import ranked_desc
 from saleskeep.operators.mart import MONEY, Mart
 
+# The report's measures over rows of the flat view, for any grouping. Published sale ids are
+# unique, so counting them is counting distinct ones.
+MEASURES: dict[str, Callable[[], Column]] = {
+    "total_ventas": lambda: F.sum("total_venta").cast(MONEY),
+    "total_unidades": lambda: F.sum("cantidad"),
+    "numero_ventas": lambda: F.count("id_venta"),
+    "ticket_promedio": lambda: F.round(
+        F.try_divide(F.sum("total_venta").cast("double"), F.count("id_venta")), 6
+    ),
+}
 # Ranges used to rank more products than one task should.
 RANK_RANGES = 256
 
@@ -19,24 +29,18 @@ def kpi_cards(
     years: Sequence[int] | None = None,
     categories: Sequence[str] | None = None,
     regions: Sequence[str] | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Total sales, units, number of sales and average ticket, within the chosen slices.
 
-    The average ticket is NULL when there are no sales.
+    One row, or one per value of ``by``. The average ticket is NULL when there are no sales.
     """
     slices = {"anio": years, "categoria": categories, "region": regions}
     chosen = {column: values for column, values in slices.items() if values is not None}
-    rows = mart.flat("id_venta", "total_venta", "cantidad", *chosen)
+    rows = mart.flat("id_venta", "total_venta", "cantidad", *dict.fromkeys((*chosen, *by)))
     for column, values in chosen.items():
         rows = rows.filter(F.col(column).isin(list(values)))
-    cards = rows.agg(
-        F.sum("total_venta").cast(MONEY).alias("total_ventas"),
-        F.sum("cantidad").alias("total_unidades"),
-        # Published sale ids are unique, so counting them is counting distinct ones.
-        F.count("id_venta").alias("numero_ventas"),
-    )
-    ticket = F.try_divide(F.col("total_ventas").cast("double"), F.col("numero_ventas"))
-    return cards.withColumn("ticket_promedio", F.round(ticket, 6))
+    return rows.groupBy(*by).agg(*(measure().alias(name) for name, measure in MEASURES.items()))
 
 
 def month_over_month(mart: Mart, *by: str) -> DataFrame:

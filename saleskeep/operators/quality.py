@@ -183,6 +183,10 @@ def rejects(evaluated: DataFrame, rejected_at: Column) -> DataFrame:
 
 
 def rule_counts(evaluated: DataFrame) -> DataFrame:
-    """Rows that broke each rule; rules nobody broke do not appear."""
-    codes = evaluated.select(F.explode(error_codes(F.col("dq_errors"))).alias("code"))
-    return codes.groupBy("code").agg(F.count("*").alias("failed_rows"))
+    """Rows that broke each rule; rules nobody broke do not appear.
+
+    Rows are counted per combination of codes first, of which there are at most 2^8.
+    """
+    combinations = evaluated.groupBy("dq_errors").agg(F.count("*").alias("n"))
+    codes = combinations.select(F.explode(error_codes(F.col("dq_errors"))).alias("code"), "n")
+    return codes.groupBy("code").agg(F.sum("n").alias("failed_rows"))

@@ -19,6 +19,7 @@ from saleskeep.functions.clock import checked_batch_id, date_folder, instant, ut
 from saleskeep.operators.audit import (
     batch_control,
     batch_summary,
+    content_digest,
     manifest,
     reconciliation,
     require_reconciled,
@@ -37,7 +38,7 @@ from saleskeep.operators.warehouse import (
 )
 from saleskeep.plans.store import Store
 from saleskeep.sources.catalog import Catalogs
-from saleskeep.sources.landing import land_raw, quarantine_json, read_landed, write_document
+from saleskeep.sources.landing import land_manifest, land_raw, quarantine_json, read_landed
 from saleskeep.workspace import Workspace
 
 # Groups that number new members when the catalog is too large for one task.
@@ -61,8 +62,14 @@ def extract_raw(store: Store, sales: DataFrame, batch_id: str, now: datetime) ->
     facts = described.first()
     document = small_frame(spark, [facts], described.schema)
     manifest_uri = f"{store.base}/manifests/{folder}/manifest.json"
-    write_document(document, manifest_uri)
-    _log_artifact(store, batch_id, "raw", raw_uri, facts.sha256, facts.record_count)
+    land_manifest(spark, document, manifest_uri)
+    digest = content_digest(document).first()
+    _log_artifacts(
+        store,
+        batch_id,
+        (batch_id, "raw", raw_uri, SCHEMA_VERSION, facts.sha256, facts.record_count),
+        (batch_id, "manifest", manifest_uri, SCHEMA_VERSION, digest.sha256, digest.record_count),
+    )
     return {
         "batch_id": batch_id,
         "date_prefix": date_folder(now),
@@ -72,14 +79,12 @@ def extract_raw(store: Store, sales: DataFrame, batch_id: str, now: datetime) ->
     }
 
 
-def _log_artifact(
-    store: Store, batch_id: str, artifact: str, uri: str, sha256: str | None, records: int
-) -> None:
-    """Record an artifact of a batch next to the batch's other artifacts."""
-    kept = store.read("artefactos", batch_id).filter(F.col("artifact") != artifact).collect()
-    row = (batch_id, artifact, uri, SCHEMA_VERSION, sha256, records)
-    entries = small_frame(store.spark, [*kept, row], ARTIFACT_SCHEMA)
-    store.replace_batch("artefactos", entries, batch_id)
+def _log_artifacts(store: Store, batch_id: str, *entries: tuple) -> None:
+    """Record artifacts of a batch next to its others; a batch has three at most."""
+    renewed = [entry[1] for entry in entries]
+    kept = store.read("artefactos", batch_id).filter(~F.col("artifact").isin(renewed)).collect()
+    rows = small_frame(store.spark, [*kept, *entries], ARTIFACT_SCHEMA)
+    store.replace_batch("artefactos", rows, batch_id)
 
 
 def staged(landed: DataFrame, batch_id: str, ingested_at: datetime) -> DataFrame:
@@ -173,7 +178,9 @@ def export_quarantine(store: Store, batch_id: str, date_prefix: str) -> str:
     path = f"{store.base}/quarantine/ventas/{date_prefix}/{batch_id}/rechazos.jsonl"
     rejected = store.read("dq_rechazos", batch_id)
     quarantine_json(store.spark, rejected, path)
-    _log_artifact(store, batch_id, "quarantine", path, None, rejected.count())
+    digest = content_digest(rejected.drop("fecha_rechazo")).first()
+    entry = (batch_id, "quarantine", path, SCHEMA_VERSION, digest.sha256, digest.record_count)
+    _log_artifacts(store, batch_id, entry)
     return path
 
 

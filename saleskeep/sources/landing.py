@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +28,20 @@ def write_once(
     path: str,
     write: Callable[[DataFrame, str], None],
     read: Callable[[str], DataFrame],
+    clocks: Sequence[str] = (),
 ) -> None:
     """Write a folder unless a completed write is there; then the contents must be equal.
 
     What an interrupted write left behind is written again. ``read`` returns the columns of
-    ``content``.
+    ``content``. Columns named as ``clocks`` hold the time of writing, which a repeated batch
+    may change: they take no part in the comparison.
     """
     if not is_finished(spark, path):
         write(content, path)
         return
-    offered = content_digest(content).first()
-    present = content_digest(read(path).select(*content.columns)).first()
+    lasting = [name for name in content.columns if name not in clocks]
+    offered = content_digest(content.select(*lasting)).first()
+    present = content_digest(read(path).select(*lasting)).first()
     if offered != present:
         raise ImmutableArtifactError(f"{path} already holds different content")
 
@@ -65,11 +68,7 @@ def read_landed(spark: SparkSession, base: str, uri: str) -> DataFrame:
 
 
 def quarantine_json(spark: SparkSession, rejected: DataFrame, path: str) -> None:
-    """Export rejects in key order, one JSON object a line, every field present.
-
-    The time of rejection is the only column a repeated batch may change, so it takes no part
-    in the comparison with an earlier export.
-    """
+    """Export rejects once, in key order, one JSON object a line, every field present."""
     stamp = "fecha_rechazo"
 
     def write(rows: DataFrame, to: str) -> None:
@@ -77,13 +76,9 @@ def quarantine_json(spark: SparkSession, rejected: DataFrame, path: str) -> None
         text = ordered.withColumn(stamp, F.col(stamp).cast("string"))
         text.write.mode("overwrite").option("ignoreNullFields", False).json(to)
 
-    if not is_finished(spark, path):
-        write(rejected, path)
-        return
-    compared = rejected.drop(stamp)
-    earlier = read_quarantine(spark, path, rejected).drop(stamp)
-    if content_digest(compared).first() != content_digest(earlier).first():
-        raise ImmutableArtifactError(f"{path} already holds different content")
+    write_once(
+        spark, rejected, path, write, lambda at: read_quarantine(spark, at, rejected), (stamp,)
+    )
 
 
 def read_quarantine(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -98,3 +93,16 @@ def read_quarantine(spark: SparkSession, path: str, like: DataFrame) -> DataFram
 def write_document(document: DataFrame, path: str) -> None:
     """Write a one-row frame as a JSON document folder."""
     document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def land_manifest(spark: SparkSession, document: DataFrame, path: str) -> None:
+    """Land a manifest once."""
+    schema = document.schema
+    write_once(
+        spark,
+        document,
+        path,
+        write_document,
+        lambda landed: spark.read.schema(schema).json(landed),
+        clocks=("extracted_at_utc",),
+    )

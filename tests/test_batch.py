@@ -64,7 +64,7 @@ def test_ten_thousand_sales(spark, store, tmp_path):
     assert json.loads(text)["record_count"] == 10_000
     log = {r.artifact: r for r in store.read("artefactos").collect()}
     assert log["raw"].record_count == 10_000 and len(log["raw"].sha256) == 64
-    assert log["quarantine"].record_count == 20
+    assert log["quarantine"].record_count == 20 and log["manifest"].record_count == 1
     rejected = store.read("dq_rechazos")
     exported = read_quarantine(spark, result["quarantine_uri"], rejected)
     assert sorted(map(str, exported.collect())) == sorted(map(str, rejected.collect()))
@@ -97,7 +97,7 @@ def test_the_first_batch_to_publish_a_sale_wins(spark, store):
     assert {r.violations for r in integrity.unique_violations(mart).collect()} == {0}
     # The rejects of a failed batch were exported all the same.
     exported = [r.artifact for r in store.read("artefactos", "BATCH-B").collect()]
-    assert sorted(exported) == ["quarantine", "raw"]
+    assert sorted(exported) == ["manifest", "quarantine", "raw"]
 
 
 def test_incremental_batches_reconcile(spark, store):
