@@ -19,7 +19,7 @@ from checks.warehouse import warehouse
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = (
-    "scan_sales", "csv_roundtrip", "content_digest", "contract_check", "dq_prepared",
+    "daily_batch", "scan_sales", "csv_roundtrip", "write_once", "content_digest", "contract_check", "dq_prepared",
     "dq_evaluate", "dq_issues_long", "dq_summary", "dq_rule_counts", "valid_rows", "rejects",
     "new_products", "new_facts", "fact_sales", "fk_orphans", "uk_violations", "batch_control",
     "vw_sales", "rls_sales", "olap_region", "olap_month_category", "olap_rollup", "olap_cube",

@@ -17,6 +17,7 @@ from saleskeep.operators.contract_checks import field_findings
 from saleskeep.operators.mart import Mart
 from saleskeep.operators.security import permitted_regions, visible_sales
 from saleskeep.plans import store as stores
+from saleskeep.plans.batch import initialize, run_daily_batch
 from saleskeep.plans.views import analytic_views
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
@@ -59,6 +60,33 @@ def raw_landing(w: Warehouse) -> DataFrame:
     return landing.read_landed(w.spark, w.store.base, w.landed[BATCH]["raw_uri"])
 
 
+def write_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land every sale, then land the same sales again in another order: the first stays."""
+    workspace = Workspace(spark)
+    path = f"{workspace.folder}/raw/ventas_origen.csv"
+    text = workspace.keep(source.as_text(tables.sales(spark, sf_dir)), "text")
+    landing.land_raw(spark, text, path)
+    landing.land_raw(spark, text.orderBy(F.desc("id_venta")), path)
+    return landing.read_landed(spark, workspace.folder, path)
+
+
+def daily_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One whole batch in a new warehouse: land, stage, judge, publish, export, reconcile."""
+    store = initialize(
+        spark,
+        Workspace(spark).folder,
+        tables.products(spark, sf_dir),
+        tables.regions(spark, sf_dir),
+    )
+    run_daily_batch(store, tables.faulty_sales(spark, sf_dir), clock=lambda: CLOCK)
+    extracted = store.read("artefactos").groupBy("batch_id").agg(
+        *(F.max(F.when(F.col("artifact") == kind, F.col("record_count"))).alias(name)
+          for kind, name in (("raw", "extracted_count"), ("quarantine", "exported_rejects")))
+    )
+    checked = audit.reconciliation(store.read("etl_control"), extracted.drop("exported_rejects"))
+    return checked.join(extracted.drop("extracted_count"), "batch_id")
+
+
 def stage_raw(w: Warehouse) -> DataFrame:
     return w.staged().drop(*LAYOUT_KEYS)
 
@@ -311,6 +339,8 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "replace_source": replace_source,
     "raw_landing": on_warehouse(raw_landing),
+    "write_once": write_once,
+    "daily_batch": daily_batch,
     "stage_raw": on_warehouse(stage_raw),
     "replace_batch": on_warehouse(replace_batch),
     "quarantine_json": on_warehouse(quarantine_json),

@@ -23,6 +23,11 @@ def match_key(text: Column) -> Column:
     return F.lower(F.trim(text))
 
 
+def catalog_key(text: Column) -> Column:
+    """The same key of a catalog entry, whose leading spaces count."""
+    return F.lower(F.rtrim(text))
+
+
 def stripped(text: Column) -> Column:
     """Text without outer whitespace of any kind; NULL counts as blank."""
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITESPACE))

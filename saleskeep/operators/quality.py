@@ -15,6 +15,7 @@ from saleskeep.operators.lookup import HOT_ROWS, Lookup, lookup_join
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.workspace import Workspace
 
+LINE_TOTAL = "decimal(14,2)"
 RULES = tuple(f"DQ-{number:03d}" for number in range(1, 9))
 
 
@@ -119,7 +120,12 @@ def evaluate(prepared: DataFrame, strict: bool = True) -> DataFrame:
         *(F.when(failed, F.lit(f"{code},")).otherwise("") for code, failed in rule_failures().items())
     )
     total = F.col("cantidad_typed") * F.col("precio_typed")
-    line_total = total.cast("decimal(14,2)") if strict else total.try_cast("decimal(14,2)")
+    line_total = total.try_cast(LINE_TOTAL)
+    if strict:
+        too_large = F.raise_error(F.lit(f"a line total does not fit {LINE_TOTAL}"))
+        line_total = F.coalesce(
+            line_total, F.when(total.isNotNull(), too_large.cast(LINE_TOTAL))
+        )
     # What has been read already need not be parsed again.
     money = "decimal(18,2)"
     quantity = F.coalesce(

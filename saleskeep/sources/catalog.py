@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleskeep.contract import PRODUCT_CATALOG_SCHEMA, REGION_CATALOG_SCHEMA
 from saleskeep.frames import small_frame
-from saleskeep.functions.text import match_key
+from saleskeep.functions.text import catalog_key
 from saleskeep.operators.lookup import Lookup
 
 # Product, category, lowest and highest price.
@@ -119,18 +119,18 @@ class Catalogs:
     def active(cls, products: DataFrame, regions: DataFrame) -> Catalogs:
         """Case-blind catalogs; of several spellings the smallest counts."""
         current = products.filter("activo")
-        by_product = current.groupBy(match_key(F.col("producto")).alias("_producto")).agg(
+        by_product = current.groupBy(catalog_key(F.col("producto")).alias("_producto")).agg(
             F.min("producto").alias("producto_catalogo"),
             F.min("categoria").alias("categoria_catalogo"),
         )
         by_region = (
             regions.filter("activo")
-            .groupBy(match_key(F.col("region")).alias("_region"))
+            .groupBy(catalog_key(F.col("region")).alias("_region"))
             .agg(F.min("region").alias("region_catalogo"))
         )
         known = F.lit(True).alias("categoria_conocida")
         by_category = (
-            current.select(match_key(F.col("categoria")).alias("_categoria"))
+            current.select(catalog_key(F.col("categoria")).alias("_categoria"))
             .distinct()
             .select("_categoria", known)
         )
