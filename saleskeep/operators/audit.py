@@ -138,30 +138,36 @@ def operations(control: DataFrame) -> DataFrame:
 def content_digest(rows: DataFrame) -> DataFrame:
     """Row count and SHA-256 digest of a table's content: one row (record_count, sha256).
 
-    Each row is hashed as text and the first 128 bits of the hashes are added up in two
-    halves, so neither row order nor file layout matters, every row and its repetition does,
+    Each row is hashed as text and the first 120 bits of the hashes are added up in six
+    pieces, so neither row order nor file layout matters, every row and its repetition does,
     and nothing is gathered in one place. A NULL differs from an empty text.
     """
-    hashed = rows.select(row_hash(rows.columns).alias("_hash"))
+    hashed = with_row_hash(rows, rows.columns)
     return hashed.agg(F.count("*").alias("record_count"), combined_hash().alias("sha256"))
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 of a row as text."""
+def with_row_hash(rows: DataFrame, columns: Sequence[str], *kept: Column) -> DataFrame:
+    """The first 120 bits of the SHA-256 of each row as text, in two numbers."""
     cells = [
         F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("~"))
         for name in columns
     ]
-    return F.sha2(F.concat_ws("\x1f", *cells), 256)
+    hashed = rows.select(F.sha2(F.concat_ws("\x1f", *cells), 256).alias("_hash"), *kept)
+    halves = {
+        f"_hash_{at}": F.conv(F.substring("_hash", at, 15), 16, 10).cast("bigint")
+        for at in (1, 16)
+    }
+    return hashed.withColumns(halves).drop("_hash")
 
 
 def combined_hash() -> Column:
-    """Aggregate of the row hashes in ``_hash``."""
-    slices = [
-        F.sum(F.conv(F.substring("_hash", at, 16), 16, 10).cast("decimal(20,0)")).cast("string")
-        for at in (1, 17)
+    """Aggregate of the row hashes; pieces of 20 bits add up without overflow to 2^43 rows."""
+    pieces = [
+        F.sum(F.shiftright(half, bits).bitwiseAND(F.lit((1 << 20) - 1))).cast("string")
+        for half in ("_hash_1", "_hash_16")
+        for bits in (0, 20, 40)
     ]
-    parts = (F.coalesce(part, F.lit("0")) for part in slices)
+    parts = (F.coalesce(piece, F.lit("0")) for piece in pieces)
     return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *parts), 256)
 
 
@@ -180,7 +186,7 @@ def manifest(
     amount = F.col("cantidad").try_cast("decimal(18,4)") * F.col("precio_unitario").try_cast(
         "decimal(18,4)"
     )
-    facts = landed.select(row_hash(SOURCE_COLUMNS).alias("_hash"), amount.alias("amount")).agg(
+    facts = with_row_hash(landed, SOURCE_COLUMNS, amount.alias("amount")).agg(
         F.count("*").alias("record_count"),
         F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
         combined_hash().alias("sha256"),
