@@ -9,15 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup is broadcast only when its counted rows are at most this many (tens of megabytes
-# at the text widths of the contract).
+# at the text widths of the contract). Set spark.saleskeep.broadcastRows to change it.
 BROADCAST_ROWS = 250_000
 # A key with more rows than this is hot. There can be at most (rows / HOT_ROWS) hot keys,
-# 50,000 for 10^11 rows, so their list is always small enough to broadcast.
+# 50,000 for 10^11 rows, so their list is always small enough to broadcast. Set
+# spark.saleskeep.hotRows to change it.
 HOT_ROWS = 2_000_000
 # Rows of one hot key are spread over this many parts.
 SALTS = 512
 
 
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(f"spark.saleskeep.{name}", str(default)))
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A table with one row per key, and whether its counted size allows a broadcast."""
@@ -27,13 +32,13 @@ class Lookup:
     fits: bool
 
     @classmethod
-    def measured(cls, df: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> Lookup:
-        return cls.bounded(df, key, df.count(), limit)
+    def measured(cls, df: DataFrame, key: str) -> Lookup:
+        return cls.bounded(df, key, df.count())
 
     @classmethod
-    def bounded(cls, df: DataFrame, key: str, rows: int, limit: int = BROADCAST_ROWS) -> Lookup:
+    def bounded(cls, df: DataFrame, key: str, rows: int) -> Lookup:
         """For a caller that knows how many rows there can be at most."""
-        return cls(df, key, rows <= limit)
+        return cls(df, key, rows <= _setting(df, "broadcastRows", BROADCAST_ROWS))
 
 
 def lookup_join(
@@ -44,7 +49,6 @@ def lookup_join(
     *,
     weights: DataFrame | None = None,
     counted: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join rows to a lookup on its key, whatever the lookup's size and the key's skew.
 
@@ -63,6 +67,7 @@ def lookup_join(
     if weights is None:
         source = rows if counted is None else counted
         weights = source.groupBy(key).agg(F.count("*").alias("n"))
+    hot_rows = _setting(rows, "hotRows", HOT_ROWS)
     hot = weights.filter(F.col("n") > hot_rows).select(key, F.lit(True).alias("_hot"))
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
     every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleskeep.contract import FLAT_COLUMNS
-from saleskeep.operators.lookup import HOT_ROWS, Lookup, lookup_join
+from saleskeep.operators.lookup import Lookup, lookup_join
 
 MONEY = "decimal(38,2)"
 # Columns each dimension gives to the flat view.
@@ -56,14 +56,12 @@ class Mart:
                 needed.append(Lookup(part, dimension.key, dimension.fits))
         return needed
 
-    def flat(self, *columns: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    def flat(self, *columns: str) -> DataFrame:
         """The flat sales view, or the given columns of it."""
         wanted = columns or FLAT_COLUMNS
         rows = self.fact
         for dimension in self._needed(wanted):
-            rows = lookup_join(
-                rows, dimension, ["id_venta"], "inner", counted=self.fact, hot_rows=hot_rows
-            )
+            rows = lookup_join(rows, dimension, ["id_venta"], "inner", counted=self.fact)
         return rows.select(*wanted)
 
     def totals(self, *by: str) -> DataFrame:

@@ -11,7 +11,7 @@ from saleskeep.contract import EVALUATED_SCHEMA, SOURCE_COLUMNS
 from saleskeep.functions.clock import after_business_day
 from saleskeep.functions.parse import dashed_date, plain_decimal
 from saleskeep.functions.text import filled, match_key
-from saleskeep.operators.lookup import HOT_ROWS, Lookup, lookup_join
+from saleskeep.operators.lookup import Lookup, lookup_join
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.workspace import Workspace
 
@@ -32,9 +32,7 @@ def repeated_ids(rows: DataFrame, key: Column, name: str) -> DataFrame:
     )
 
 
-def with_repeats(
-    rows: DataFrame, key: Column, name: str, workspace: Workspace, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_repeats(rows: DataFrame, key: Column, name: str, workspace: Workspace) -> DataFrame:
     """Add ``n`` and ``first_row_key`` of each row's id group, NULL for ids that occur once.
 
     The repeated ids are written first. They are few in ordinary batches and then a counted
@@ -43,23 +41,17 @@ def with_repeats(
     repeats = workspace.keep(repeated_ids(rows, key, name), "repeated_ids")
     lookup = Lookup.measured(repeats, name)
     weights = repeats.select(name, "n")
-    return lookup_join(
-        rows.withColumn(name, key), lookup, ["raw_row_key"], weights=weights, hot_rows=hot_rows
-    )
+    return lookup_join(rows.withColumn(name, key), lookup, ["raw_row_key"], weights=weights)
 
 
-def prepare(
-    staged: DataFrame, catalogs: Catalogs, workspace: Workspace, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def prepare(staged: DataFrame, catalogs: Catalogs, workspace: Workspace) -> DataFrame:
     """Typed columns, duplicate count and catalog matches next to the staged text.
 
     Staged text is never NULL (the readers fill blanks), yet NULL ids and NULL categories are
     honoured: NULL ids form one group, a NULL category cannot contradict the product.
     """
     id_key = match_key(F.col("id_venta"))
-    counted = with_repeats(
-        staged, F.coalesce(id_key, F.lit("\0")), "_id", workspace, hot_rows
-    )
+    counted = with_repeats(staged, F.coalesce(id_key, F.lit("\0")), "_id", workspace)
     typed = counted.select(
         *staged.columns,
         F.trim("id_venta").try_cast("bigint").alias("id_typed"),
@@ -69,7 +61,7 @@ def prepare(
         F.coalesce("n", F.lit(1)).cast("bigint").alias("id_count"),
         *catalog_keys(match_key),
     )
-    return with_catalogs(typed, staged.select(*catalog_keys(match_key)), catalogs, hot_rows)
+    return with_catalogs(typed, staged.select(*catalog_keys(match_key)), catalogs)
 
 
 def catalog_keys(clean: Callable[[Column], Column]) -> list[Column]:
@@ -77,12 +69,10 @@ def catalog_keys(clean: Callable[[Column], Column]) -> list[Column]:
     return [clean(F.col(name)).alias(f"_{name}") for name in ("producto", "categoria", "region")]
 
 
-def with_catalogs(
-    rows: DataFrame, counted: DataFrame, catalogs: Catalogs, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_catalogs(rows: DataFrame, counted: DataFrame, catalogs: Catalogs) -> DataFrame:
     """Add the catalog matches of keyed rows; ``counted`` holds the same keys, read cheaply."""
     for lookup in (catalogs.products, catalogs.regions, catalogs.categories):
-        rows = lookup_join(rows, lookup, ["raw_row_key"], counted=counted, hot_rows=hot_rows)
+        rows = lookup_join(rows, lookup, ["raw_row_key"], counted=counted)
     return rows
 
 

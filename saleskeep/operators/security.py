@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleskeep.operators.lookup import HOT_ROWS, Lookup, lookup_join
+from saleskeep.operators.lookup import Lookup, lookup_join
 from saleskeep.operators.mart import Mart
 
 
-def permitted_regions(
-    access: DataFrame, dim_region: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def permitted_regions(access: DataFrame, dim_region: DataFrame) -> DataFrame:
     """Region keys each user may see: active grants on current regions."""
     regions = dim_region.filter("vigente").select(
         F.lower("region").alias("_region"), "region_key"
     )
     grants = access.filter("activo").withColumn("_region", F.lower("region"))
     joined = lookup_join(
-        grants, Lookup.measured(regions, "_region"), ["usuario_correo"], "inner",
-        hot_rows=hot_rows,
+        grants, Lookup.measured(regions, "_region"), ["usuario_correo"], "inner"
     )
     return joined.select("usuario_correo", "region_key")
 

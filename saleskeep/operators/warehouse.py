@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from saleskeep.contract import FACT_SCHEMA
 from saleskeep.functions.clock import date_key, month_name
 from saleskeep.operators.keys import numbered
-from saleskeep.operators.lookup import HOT_ROWS, Lookup, lookup_join
+from saleskeep.operators.lookup import Lookup, lookup_join
 
 
 def new_dates(valid: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -114,7 +114,6 @@ def fact_rows(
     keys: DimensionKeys,
     loaded_at: Column,
     start: int = 0,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Fact rows of the valid rows that are not published yet.
 
@@ -126,9 +125,7 @@ def fact_rows(
     )
     rows = keyed if published is None else unpublished(keyed, published)
     for lookup in (keys.dates, keys.products, keys.regions):
-        rows = lookup_join(
-            rows, lookup, ["raw_row_key"], "inner", counted=keyed, hot_rows=hot_rows
-        )
+        rows = lookup_join(rows, lookup, ["raw_row_key"], "inner", counted=keyed)
     rows = rows.withColumn("venta_key", F.lit(start) + F.col("raw_row_key")).withColumn(
         "fecha_carga", loaded_at
     )

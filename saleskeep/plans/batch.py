@@ -216,7 +216,9 @@ def run_daily_batch(
     rows = only_new(store, sales) if incremental else sales
     raw = extract_raw(store, rows, chosen, clock())
     stage_raw(store, chosen, raw["raw_uri"], clock())
-    process_batch(store, chosen, clock(), Workspace(store.spark), strict)
+    workspace = Workspace(store.spark)
+    process_batch(store, chosen, clock(), workspace, strict)
+    workspace.drop()
     quarantine_uri = export_quarantine(store, chosen, raw["date_prefix"])
     figures = reconcile(store, chosen, raw["extracted_count"])
     return {**raw, **figures, "quarantine_uri": quarantine_uri}

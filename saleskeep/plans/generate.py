@@ -48,6 +48,7 @@ def generate_dataset(
     catalogs = Catalogs.exact(seed_products(spark), seed_regions(spark))
     issues = quality_issues(keyed, catalogs, F.lit(processing_date), workspace)
     counts = issue_summary(issues).first()
+    workspace.drop()
     described = manifest(written, batch_id, instant(clock)).select(
         "*", *(F.lit(count).cast("bigint").alias(name) for name, count in counts.asDict().items())
     )

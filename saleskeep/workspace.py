@@ -36,3 +36,9 @@ class Workspace:
         path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete this workspace's own folder; frames kept in it can no longer be read."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(folder, True)

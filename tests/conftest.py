@@ -24,6 +24,20 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def limits(spark):
+    """Set how many rows are broadcast and how many make a key hot, for one test."""
+    names = ("spark.saleskeep.broadcastRows", "spark.saleskeep.hotRows")
+
+    def set_limits(broadcast_rows, hot_rows):
+        for name, value in zip(names, (broadcast_rows, hot_rows)):
+            spark.conf.set(name, value)
+
+    yield set_limits
+    for name in names:
+        spark.conf.unset(name)
+
+
 @pytest.fixture
 def workspace(spark, tmp_path):
     return Workspace(spark, str(tmp_path))

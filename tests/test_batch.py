@@ -73,6 +73,33 @@ def test_ten_thousand_sales(spark, store, tmp_path):
     assert all(list(line) == contract.REJECTS_SCHEMA.names for line in lines)
 
 
+def test_large_lookups_and_hot_keys_give_the_same_tables(spark, tmp_path, limits):
+    """Nothing fits a broadcast and every key is hot: only surrogate keys may differ."""
+    sales = source(spark, 400).withColumn(
+        "producto", F.when(F.col("id_venta") % 3 == 0, F.lit("Tablet 10")).otherwise(F.col("producto"))
+    ).withColumn("categoria", F.when(F.col("id_venta") % 3 == 0, F.lit("Computación")).otherwise(
+        F.col("categoria"))).unionByName(source(spark, 400).filter("id_venta % 5 = 0"))
+
+    def outcome(name):
+        store = initialize(spark, str(tmp_path / name), seed_products(spark), seed_regions(spark))
+        with pytest.raises(audit.ReconciliationError):
+            run_daily_batch(store, sales.filter("id_venta <= 100").dropDuplicates(["id_venta"]), "A", at())
+            run_daily_batch(store, sales, "B", at(1))
+        control = store.read("etl_control").drop("ultima_venta_key").collect()
+        keyless = store.mart().flat().collect()
+        return sorted(map(str, control)), sorted(map(str, keyless)), store
+
+    usual = outcome("usual")
+    limits(0, 2)
+    split = outcome("split")
+    assert split[:2] == usual[:2] and len(usual[1]) > 250
+    mart = split[2].mart()
+    assert not mart.products.fits
+    assert {r.violations for r in integrity.unique_violations(mart).collect()} == {0}
+    keys = sorted(r.producto_key for r in mart.products.df.collect())
+    assert keys == list(range(1, len(keys) + 1))
+
+
 def test_a_repeated_batch_leaves_the_same_tables(spark, store):
     run_daily_batch(store, source(spark), "BATCH-A", at())
     before = tables(store)

@@ -21,26 +21,32 @@ def skewed(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("counted", [True, False])
-def test_salted_join_equals_the_plain_join(skewed, how, counted):
+def test_salted_join_equals_the_plain_join(skewed, how, counted, limits):
     rows, table = skewed
     expected = Counter(map(tuple, rows.join(table, "key", how).select("raw_row_key", "key", "value").collect()))
     weights = rows.groupBy("key").agg(F.count("*").alias("n")) if counted else None
-    for lookup in (Lookup.measured(table, "key"), Lookup.measured(table, "key", limit=10)):
-        for hot_rows in (1, 50, 10_000):
-            joined = lookup_join(rows, lookup, ["raw_row_key"], how, weights=weights, hot_rows=hot_rows)
+    for broadcast_rows, hot_rows in ((100, 1), (10, 1), (10, 50), (10, 10_000)):
+        for counted_frame in (None, rows):
+            limits(broadcast_rows, hot_rows)
+            lookup = Lookup.measured(table, "key")
+            assert lookup.fits == (broadcast_rows == 100)
+            joined = lookup_join(
+                rows, lookup, ["raw_row_key"], how, weights=weights, counted=counted_frame
+            )
             assert set(joined.columns) == {"raw_row_key", "key", "value"}
             got = joined.select("raw_row_key", "key", "value").collect()
             assert Counter(map(tuple, got)) == expected
 
 
-def test_salted_join_spreads_the_hot_key(spark, skewed):
+def test_salted_join_spreads_the_hot_key(spark, skewed, limits):
+    limits(10, 1_000)
     rows, table = skewed
     big = rows.crossJoin(spark.range(20)).withColumn("raw_row_key", F.monotonically_increasing_id())
     lookup = Lookup(table, "key", fits=False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = lookup_join(big, lookup, ["raw_row_key"], hot_rows=1_000)
+        joined = lookup_join(big, lookup, ["raw_row_key"])
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -50,10 +56,11 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
     assert max(row["count"] for row in sizes) < total / 4
 
 
-def test_broadcast_only_when_counted_small(skewed):
+def test_broadcast_only_when_counted_small(skewed, limits):
     rows, table = skewed
     assert Lookup.measured(table, "key").fits
-    assert not Lookup.measured(table, "key", limit=60).fits
+    limits(60, 1)
+    assert not Lookup.measured(table, "key").fits
     assert not Lookup.bounded(table, "key", 10**9).fits
 
 

@@ -91,16 +91,17 @@ def too_large(catalogs):
 
 
 @pytest.mark.parametrize("large", [False, True])
-def test_rules_case_by_case(spark, workspace, catalogs, exact_catalogs, large):
+def test_rules_case_by_case(spark, workspace, catalogs, exact_catalogs, large, limits):
     rows = staged_rows(spark, [change for change, _, _ in CASES])
     if large:
+        limits(0, 3)
         catalogs, exact_catalogs = too_large(catalogs), too_large(exact_catalogs)
-    evaluated = evaluate(prepare(rows, catalogs, workspace, hot_rows=3))
+    evaluated = evaluate(prepare(rows, catalogs, workspace))
     assert evaluated.columns == EVALUATED_SCHEMA.names
     assert [f.dataType for f in evaluated.schema] == [f.dataType for f in EVALUATED_SCHEMA]
     got = codes_by_row(evaluated)
     today = instant(CLOCK).cast("date")
-    found = issue_codes(issues.quality_issues(rows, exact_catalogs, today, workspace, hot_rows=3))
+    found = issue_codes(issues.quality_issues(rows, exact_catalogs, today, workspace))
     for key, (change, errors, diagnostic) in enumerate(CASES, 1):
         assert got[key] == errors, change
         assert found.get(key, []) == diagnostic, change
@@ -120,20 +121,20 @@ def test_repeated_ids(spark, workspace, catalogs, exact_catalogs):
                      11: ["DQ-001"], 13: ["DQ-002"]}
 
 
-def test_a_third_of_all_rows_without_an_id(spark, workspace, catalogs, exact_catalogs, monkeypatch):
+def test_a_third_of_all_rows_without_an_id(spark, workspace, catalogs, exact_catalogs, limits):
     """The shuffled and salted way gives what brute force gives."""
-    monkeypatch.setattr(quality.Lookup, "measured", classmethod(lambda cls, df, key, **_: cls(df, key, False)))
+    limits(0, 50)
     ids = ["" if n % 3 == 0 else str(n % 150) for n in range(900)]
     rows = staged_rows(spark, [{"id_venta": value} for value in ids]).repartition(6)
     today = instant(CLOCK).cast("date")
-    evaluated = evaluate(prepare(rows, too_large(catalogs), workspace, hot_rows=50))
+    evaluated = evaluate(prepare(rows, too_large(catalogs), workspace))
     counts = {value: ids.count(value) for value in set(ids)}
     expected = {
         key: ("DQ-001," if value == "" else "") + ("DQ-002," if counts[value] > 1 else "")
         for key, value in enumerate(ids, 1)
     }
     assert codes_by_row(evaluated) == expected
-    found = issues.quality_issues(rows, too_large(exact_catalogs), today, workspace, hot_rows=50)
+    found = issues.quality_issues(rows, too_large(exact_catalogs), today, workspace)
     repeats = {key for key, value in enumerate(ids, 1) if value and value in ids[: key - 1]}
     blanks = {key for key, value in enumerate(ids, 1) if not value}
     assert {r.raw_row_key for r in found.filter("code = 'DQ-002'").collect()} == repeats
