@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import tables
 from checks.warehouse import BATCH, CLOCK, FIRST_BATCH, Warehouse, warehouse
-from saleskeep.contract import EVALUATED_COLUMNS, SOURCE_COLUMNS
+from saleskeep.contract import CONTROL_COLUMNS, EVALUATED_COLUMNS, SOURCE_COLUMNS
 from saleskeep.functions.clock import batch_id_of, batch_instant, instant, is_batch_id
 from saleskeep.operators import audit, integrity, issues, measures, olap, quality
 from saleskeep.operators import warehouse as star
@@ -284,7 +284,7 @@ def control(w: Warehouse) -> DataFrame:
     # Keys differ by file layout.
     return audit.batch_control(
         audit.batch_summary(evaluated), fact, instant(CLOCK)
-    ).drop("ultima_venta_key")
+    ).select(*CONTROL_COLUMNS, "registros_ya_publicados", "id_minimo", "id_maximo")
 
 
 def control_lookup(w: Warehouse) -> DataFrame:

@@ -83,10 +83,10 @@ CONTROL_SCHEMA = _schema(
     "registros_origen bigint, registros_validos bigint, registros_rechazados bigint, "
     "registros_publicados bigint, importe_origen decimal(18,2), "
     "importe_publicado decimal(18,2), estado string, registros_ya_publicados bigint, "
-    "ultima_venta_key bigint"
+    "ultima_venta_key bigint, id_minimo bigint, id_maximo bigint"
 )
-# The last two control columns are additions: valid rows that an earlier batch had published,
-# and the largest fact key in use after the batch.
+# The last four control columns are additions: valid rows that an earlier batch had published,
+# the largest fact key of the batch, and the range of the sale ids it published.
 CONTROL_COLUMNS = tuple(CONTROL_SCHEMA.names[:10])
 
 DIM_DATE_SCHEMA = _schema(

@@ -39,14 +39,16 @@ def publication_summary(fact: DataFrame) -> DataFrame:
         F.count("*").alias("registros_publicados"),
         F.sum("total_venta").cast(MONEY).alias("importe_publicado"),
         F.max("venta_key").alias("ultima_venta_key"),
+        F.min("id_venta").alias("id_minimo"),
+        F.max("id_venta").alias("id_maximo"),
     )
 
 
 def batch_control(summary: DataFrame, fact: DataFrame, finished_at: Column) -> DataFrame:
     """Control row of each batch: SUCCESS only when every valid row was published.
 
-    Two added columns hold the valid rows that earlier batches had published already, and the
-    largest fact key of the batch.
+    Added columns hold the valid rows that earlier batches had published already, the largest
+    fact key of the batch, and the range of sale ids it published.
     """
     both = summary.join(publication_summary(fact), "batch_id", "left")
     published = F.coalesce("registros_publicados", F.lit(0)).cast("bigint")

@@ -208,7 +208,7 @@ def test_new_members_keep_the_first_spelling_and_old_keys(spark, store):
 def test_reconciliation_messages(spark):
     def checked(control, extracted):
         row = dict(zip(contract.CONTROL_SCHEMA.names, (
-            "B", None, None, *control[:4], None, Decimal("25922873.61"), control[4], 0, 0)))
+            "B", None, None, *control[:4], None, Decimal("25922873.61"), control[4], 0, 0, 1, 9)))
         frame = spark.createDataFrame([tuple(row.values())], contract.CONTROL_SCHEMA)
         counts = spark.createDataFrame([("B", extracted)], "batch_id string, extracted_count bigint")
         return audit.reconciliation(frame, counts)
@@ -253,3 +253,18 @@ def test_views_and_parameterised_queries(spark, store):
 def test_shared_folder_comes_from_the_session(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     assert before is None or shared_folder(spark) == before.rstrip("/")
+
+
+def test_only_batches_that_can_hold_an_id_are_read(spark, store):
+    run_daily_batch(store, synthetic_sales(spark, 100), "BATCH-A", at())
+    run_daily_batch(store, synthetic_sales(spark, 200), "BATCH-B", at(), incremental=True)
+
+    def read(*ids):
+        found = store.published(*ids)
+        return found.count(), sorted({f.split("batch_id=")[1][:7] for f in found.inputFiles()})
+
+    assert read() == (200, ["BATCH-A", "BATCH-B"])
+    assert read(150, 160) == (11, ["BATCH-B"])
+    assert read(90, 101) == (12, ["BATCH-A", "BATCH-B"])
+    assert read(201, 300) == (0, [])
+    assert read(None, 10) == (10, ["BATCH-A"])
