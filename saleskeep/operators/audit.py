@@ -101,17 +101,9 @@ def reconciliation(control: DataFrame, extracted: DataFrame) -> DataFrame:
 def require_reconciled(checked: DataFrame) -> dict[str, Any]:
     """The six reconciled figures of a one-batch reconciliation; raises on a failed check."""
     row = checked.first()
-    messages = {
-        "NO CONTROL ROW": f"no audit control found for {row.batch_id}",
-        "SOURCE COUNT DIFFERS": "source reconciliation failed: "
-        f"extracted={row.extracted_count}, audit={row.source_count}",
-        "VALID AND REJECTED DIFFER FROM SOURCE":
-            "quality reconciliation failed: valid + rejected != source",
-        "WAREHOUSE NOT FULLY PUBLISHED":
-            "warehouse reconciliation failed: valid rows were not fully published",
-    }
     if row.outcome != "RECONCILED":
-        raise ReconciliationError(messages[row.outcome])
+        details = {name: value for name, value in row.asDict().items() if value is not None}
+        raise ReconciliationError(f"{row.outcome}: {details}")
     figures = (
         "source_count", "valid_count", "rejected_count", "published_count",
         "published_amount", "status",

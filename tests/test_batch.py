@@ -113,7 +113,7 @@ def test_a_repeated_batch_leaves_the_same_tables(spark, store):
 def test_the_first_batch_to_publish_a_sale_wins(spark, store):
     run_daily_batch(store, source(spark, 100), "BATCH-A", at())
     first = store.read("fact_ventas", "BATCH-A").collect()
-    with pytest.raises(audit.ReconciliationError, match="warehouse reconciliation failed"):
+    with pytest.raises(audit.ReconciliationError, match="WAREHOUSE NOT FULLY PUBLISHED"):
         run_daily_batch(store, synthetic_sales(spark, 150), "BATCH-B", at(1))
     assert sorted(store.read("fact_ventas", "BATCH-A").collect()) == sorted(first)
     control = store.read("etl_control", "BATCH-B").first()
@@ -218,10 +218,10 @@ def test_reconciliation_messages(spark):
                     "published_count": 9_980, "published_amount": Decimal("25922873.61"),
                     "status": "SUCCESS"}
     for control, extracted, message in (
-        ((100, 99, 1, 98, "FAILED"), 100, "warehouse reconciliation failed"),
-        ((100, 99, 1, 99, "FAILED"), 100, "warehouse reconciliation failed"),
-        ((100, 98, 1, 98, "SUCCESS"), 100, "quality reconciliation failed"),
-        ((100, 99, 1, 98, "FAILED"), 101, "source reconciliation failed: extracted=101, audit=100"),
+        ((100, 99, 1, 98, "FAILED"), 100, "WAREHOUSE NOT FULLY PUBLISHED"),
+        ((100, 99, 1, 99, "FAILED"), 100, "WAREHOUSE NOT FULLY PUBLISHED"),
+        ((100, 98, 1, 98, "SUCCESS"), 100, "VALID AND REJECTED DIFFER FROM SOURCE"),
+        ((100, 99, 1, 98, "FAILED"), 101, "SOURCE COUNT DIFFERS: .*101.*100"),
     ):
         with pytest.raises(audit.ReconciliationError, match=message):
             audit.require_reconciled(checked(control, extracted))
@@ -230,7 +230,7 @@ def test_reconciliation_messages(spark):
         spark.createDataFrame([], contract.CONTROL_SCHEMA),
         missing.withColumn("extracted_count", F.lit(1).cast("bigint")),
     )
-    with pytest.raises(audit.ReconciliationError, match="no audit control found for B"):
+    with pytest.raises(audit.ReconciliationError, match="NO CONTROL ROW.*'B'"):
         audit.require_reconciled(none)
 
 
