@@ -57,7 +57,7 @@ def replace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_landing(w: Warehouse) -> DataFrame:
-    return landing.read_landed(w.spark, w.store.base, w.landed[BATCH]["raw_uri"])
+    return landing.read_landed(w.spark, w.store.base, w.landed(BATCH)["raw_uri"])
 
 
 def write_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,7 @@ def stage_raw(w: Warehouse) -> DataFrame:
 def replace_batch(w: Warehouse) -> DataFrame:
     """Write two batches, replace one by other rows and the other by none, in a new store."""
     store = stores.Store(w.spark, w.workspace.path("replace"))
-    first = w.store.read("stg_ventas_raw", FIRST_BATCH)
+    first = w.staged(FIRST_BATCH)
     store.replace_batch("stg_ventas_raw", first, FIRST_BATCH)
     store.replace_batch("stg_ventas_raw", w.staged(), "OTHER")
     store.replace_batch("stg_ventas_raw", w.staged(), BATCH)
@@ -104,7 +104,7 @@ def replace_batch(w: Warehouse) -> DataFrame:
 
 
 def quarantine_json(w: Warehouse) -> DataFrame:
-    rejected = w.store.read("dq_rechazos", BATCH)
+    rejected = w.done.read("dq_rechazos", BATCH)
     path = w.workspace.path("quarantine")
     landing.quarantine_json(w.spark, rejected, path)
     return landing.read_quarantine(w.spark, path, rejected).drop(*LAYOUT_KEYS)
@@ -132,9 +132,11 @@ def valid_batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_manifest(w: Warehouse) -> DataFrame:
     manifests = [
         audit.manifest(
-            landing.read_landed(w.spark, w.store.base, raw["raw_uri"]), batch_id, instant(CLOCK)
+            landing.read_landed(w.spark, w.store.base, w.landed(batch_id)["raw_uri"]),
+            batch_id,
+            instant(CLOCK),
         )
-        for batch_id, raw in w.landed.items()
+        for batch_id in (FIRST_BATCH, BATCH)
     ]
     return manifests[0].unionByName(manifests[1])
 
@@ -144,8 +146,9 @@ def content_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artifact_log(w: Warehouse) -> DataFrame:
-    log = w.store.read("artefactos")
-    return log.select("batch_id", "artifact", "schema_version", "sha256", "record_count")
+    for batch_id in (FIRST_BATCH, BATCH):
+        w.landed(batch_id)
+    return w.store.read("artefactos").select("batch_id", "artifact", "schema_version", "sha256", "record_count")
 
 
 # Catalogs and contract
@@ -236,7 +239,7 @@ def rejects(w: Warehouse) -> DataFrame:
 
 
 def first_valid(w: Warehouse) -> DataFrame:
-    return quality.valid_rows(w.store.read("stg_ventas_evaluadas", FIRST_BATCH))
+    return quality.valid_rows(w.evaluated(FIRST_BATCH))
 
 
 def valid(w: Warehouse) -> DataFrame:
@@ -244,12 +247,12 @@ def valid(w: Warehouse) -> DataFrame:
 
 
 def new_dates(w: Warehouse) -> DataFrame:
-    nothing = w.store.read("dim_fecha").limit(0)
+    nothing = w.done.read("dim_fecha").limit(0)
     return star.new_dates(valid(w), star.new_dates(first_valid(w), nothing))
 
 
 def new_products(w: Warehouse) -> DataFrame:
-    nothing = w.store.read("dim_producto").limit(0)
+    nothing = w.done.read("dim_producto").limit(0)
     known = star.new_products(first_valid(w), nothing).withColumn("vigente", F.lit(True))
     return star.new_products(valid(w), known)
 
@@ -261,7 +264,7 @@ def new_regions(w: Warehouse) -> DataFrame:
 
 
 def new_facts(w: Warehouse) -> DataFrame:
-    published = w.store.read("fact_ventas", FIRST_BATCH)
+    published = w.done.read("fact_ventas", FIRST_BATCH)
     return star.unpublished(valid(w), published).select(*EVALUATED_COLUMNS).drop(*LAYOUT_KEYS)
 
 
@@ -280,7 +283,7 @@ def fact_sales(w: Warehouse) -> DataFrame:
 
 
 def control(w: Warehouse) -> DataFrame:
-    evaluated, fact = w.store.read("stg_ventas_evaluadas"), w.store.read("fact_ventas")
+    evaluated, fact = w.done.read("stg_ventas_evaluadas"), w.done.read("fact_ventas")
     # Keys differ by file layout.
     return audit.batch_control(
         audit.batch_summary(evaluated), fact, instant(CLOCK)
@@ -293,39 +296,39 @@ def control_lookup(w: Warehouse) -> DataFrame:
         "SELECT registros_origen, registros_validos, registros_rechazados, "
         "registros_publicados, importe_publicado, estado FROM {control} WHERE batch_id = :batch",
         {"batch": BATCH},
-        control=w.store.read("etl_control"),
+        control=w.done.read("etl_control"),
     ).limit(1)
 
 
 def reconcile(w: Warehouse) -> DataFrame:
     """Both batches against the rows landed, and against one row more."""
-    extracted = w.store.read("artefactos").filter("artifact = 'raw'").select(
+    extracted = w.done.read("artefactos").filter("artifact = 'raw'").select(
         "batch_id", F.explode(F.array("record_count", F.col("record_count") + 1)).alias(
             "extracted_count")
     )
-    return audit.reconciliation(w.store.read("etl_control"), extracted)
+    return audit.reconciliation(w.done.read("etl_control"), extracted)
 
 
 def ops_quality(w: Warehouse) -> DataFrame:
-    return audit.operations(w.store.read("etl_control"))
+    return audit.operations(w.done.read("etl_control"))
 
 
 # Views, access
 
 
 def view(name: str) -> Query:
-    return on_warehouse(lambda w: analytic_views(w.store)[name].drop(*LAYOUT_KEYS))
+    return on_warehouse(lambda w: analytic_views(w.done)[name].drop(*LAYOUT_KEYS))
 
 
 def vw_user_region(w: Warehouse) -> DataFrame:
-    region = w.store.read("dim_region")
+    region = w.done.read("dim_region")
     permitted = permitted_regions(w.store.read("usuario_region"), region)
     return permitted.join(region, "region_key").select("usuario_correo", "region")
 
 
 def rls_sales(w: Warehouse) -> DataFrame:
     """Sales by region and month as one regional user sees them."""
-    permitted = permitted_regions(w.store.read("usuario_region"), w.store.read("dim_region"))
+    permitted = permitted_regions(w.store.read("usuario_region"), w.done.read("dim_region"))
     seen = visible_sales(w.mart, permitted, "customer#000000001@example.com")
     return seen.totals("region", "anio", "mes")
 
@@ -361,9 +364,9 @@ QUERIES: dict[str, Query] = {
     "dq_rule_counts": on_warehouse(dq_rule_counts),
     "valid_rows": on_warehouse(valid_rows),
     "rejects": on_warehouse(rejects),
-    "dim_date": on_warehouse(lambda w: w.store.read("dim_fecha")),
-    "dim_product": on_warehouse(lambda w: w.store.read("dim_producto").drop(*LAYOUT_KEYS)),
-    "dim_region": on_warehouse(lambda w: w.store.read("dim_region").drop(*LAYOUT_KEYS)),
+    "dim_date": on_warehouse(lambda w: w.done.read("dim_fecha")),
+    "dim_product": on_warehouse(lambda w: w.done.read("dim_producto").drop(*LAYOUT_KEYS)),
+    "dim_region": on_warehouse(lambda w: w.done.read("dim_region").drop(*LAYOUT_KEYS)),
     "new_dates": on_warehouse(new_dates),
     "new_products": on_warehouse(new_products),
     "new_regions": on_warehouse(new_regions),

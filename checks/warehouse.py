@@ -15,47 +15,68 @@ from pyspark.sql import functions as F
 from checks import tables
 from saleskeep.operators.mart import Mart
 from saleskeep.plans.batch import extract_raw, initialize, process_batch, stage_raw
+from saleskeep.plans.store import Store
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.workspace import Workspace
 
 FIRST_BATCH = "BATCH-20260831-070000"
 BATCH = "BATCH-20260901-070000"
-FIRST_CLOCK = datetime(2026, 8, 31, 12, 0, tzinfo=UTC)
 CLOCK = datetime(2026, 9, 1, 12, 0, tzinfo=UTC)
+CLOCKS = {FIRST_BATCH: datetime(2026, 8, 31, 12, 0, tzinfo=UTC), BATCH: CLOCK}
 FIRST_BATCH_UNTIL = "1996-12-31"
 
 
 class Warehouse:
+    """Each step is taken when a query first needs its result."""
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.workspace = Workspace(spark)
-        self.store = initialize(
-            spark,
-            f"{self.workspace.folder}/warehouse",
-            tables.products(spark, sf_dir),
-            tables.regions(spark, sf_dir),
-        )
-        self.store.replace("usuario_region", tables.access(spark, sf_dir))
-        sales = self.workspace.keep(tables.faulty_sales(spark, sf_dir), "sales")
-        earlier = sales.filter(F.col("fecha_venta") <= FIRST_BATCH_UNTIL)
-        self.landed = {}
-        for batch_id, clock, rows in (
-            (FIRST_BATCH, FIRST_CLOCK, earlier), (BATCH, CLOCK, sales)
-        ):
-            raw = extract_raw(self.store, rows, batch_id, clock)
-            stage_raw(self.store, batch_id, raw["raw_uri"], clock)
-            process_batch(self.store, batch_id, clock, self.workspace)
-            self.landed[batch_id] = raw
+        self._landed: dict[str, dict] = {}
+        self._staged: set[str] = set()
+
+    @cached_property
+    def store(self) -> Store:
+        """The store with its catalogs and access grants, whatever batches it holds."""
+        base = f"{self.workspace.folder}/warehouse"
+        products = tables.products(self.spark, self.sf_dir)
+        store = initialize(self.spark, base, products, tables.regions(self.spark, self.sf_dir))
+        store.replace("usuario_region", tables.access(self.spark, self.sf_dir))
+        return store
 
-    def staged(self) -> DataFrame:
-        return self.store.read("stg_ventas_raw", BATCH)
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self.workspace.keep(tables.faulty_sales(self.spark, self.sf_dir), "sales")
+
+    def landed(self, batch_id: str) -> dict:
+        """Where a batch was landed, and its row count."""
+        if batch_id not in self._landed:
+            rows = self.sales
+            if batch_id == FIRST_BATCH:
+                rows = rows.filter(F.col("fecha_venta") <= FIRST_BATCH_UNTIL)
+            self._landed[batch_id] = extract_raw(self.store, rows, batch_id, CLOCKS[batch_id])
+        return self._landed[batch_id]
+
+    def staged(self, batch_id: str = BATCH) -> DataFrame:
+        if batch_id not in self._staged:
+            stage_raw(self.store, batch_id, self.landed(batch_id)["raw_uri"], CLOCKS[batch_id])
+            self._staged.add(batch_id)
+        return self.store.read("stg_ventas_raw", batch_id)
+
+    @cached_property
+    def done(self) -> Store:
+        """The store after both batches."""
+        for batch_id, clock in CLOCKS.items():
+            self.staged(batch_id)
+            process_batch(self.store, batch_id, clock, self.workspace)
+        return self.store
 
-    def evaluated(self) -> DataFrame:
-        return self.store.read("stg_ventas_evaluadas", BATCH)
+    def evaluated(self, batch_id: str = BATCH) -> DataFrame:
+        return self.done.read("stg_ventas_evaluadas", batch_id)
 
     @cached_property
     def mart(self) -> Mart:
-        return self.store.mart()
+        return self.done.mart()
 
     @cached_property
     def catalogs(self) -> Catalogs:
