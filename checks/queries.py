@@ -18,7 +18,7 @@ from saleskeep.operators.mart import Mart
 from saleskeep.operators.security import permitted_regions, visible_sales
 from saleskeep.plans import store as stores
 from saleskeep.plans.batch import initialize, run_daily_batch
-from saleskeep.plans.views import analytic_views
+from saleskeep.plans.views import VIEWS
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
 from saleskeep.workspace import Workspace
@@ -317,7 +317,7 @@ def ops_quality(w: Warehouse) -> DataFrame:
 
 
 def view(name: str) -> Query:
-    return on_warehouse(lambda w: analytic_views(w.done)[name].drop(*LAYOUT_KEYS))
+    return on_warehouse(lambda w: VIEWS[name](w.done).drop(*LAYOUT_KEYS))
 
 
 def vw_user_region(w: Warehouse) -> DataFrame:

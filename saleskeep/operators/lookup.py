@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when its counted rows are at most this many (tens of megabytes
-# at the text widths of the contract). Set spark.saleskeep.broadcastRows to change it.
-BROADCAST_ROWS = 250_000
+# A lookup is broadcast only when its measured size in memory is at most this. Set
+# spark.saleskeep.broadcastBytes to change it.
+BROADCAST_BYTES = 128 << 20
+# What a row of a broadcast table takes beyond its values: two row headers and a map entry.
+ROW_OVERHEAD = 100
 # A key with more rows than this is hot. There can be at most (rows / HOT_ROWS) hot keys,
 # 50,000 for 10^11 rows, so their list is always small enough to broadcast. Set
 # spark.saleskeep.hotRows to change it.
@@ -23,22 +25,27 @@ def _setting(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(f"spark.saleskeep.{name}", str(default)))
 
 
+def broadcast_size(df: DataFrame) -> int:
+    """Bytes the rows take when broadcast, at most; texts count twice, as key and as value."""
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    total = F.coalesce(F.sum(sum((F.octet_length(n) for n in texts), F.lit(0))), F.lit(0))
+    rows, text_bytes = df.fillna("", texts).agg(F.count("*"), total).first()
+    return rows * (ROW_OVERHEAD + 8 * len(df.columns)) + 2 * text_bytes
+
+
 @dataclass(frozen=True)
 class Lookup:
-    """A table with one row per key, and whether its counted size allows a broadcast."""
+    """A table with one row per key, and whether its measured size allows a broadcast."""
 
     df: DataFrame
     key: str
     fits: bool
 
     @classmethod
-    def measured(cls, df: DataFrame, key: str) -> Lookup:
-        return cls.bounded(df, key, df.count())
-
-    @classmethod
-    def bounded(cls, df: DataFrame, key: str, rows: int) -> Lookup:
-        """For a caller that knows how many rows there can be at most."""
-        return cls(df, key, rows <= _setting(df, "broadcastRows", BROADCAST_ROWS))
+    def measured(cls, df: DataFrame, key: str, within: DataFrame | None = None) -> Lookup:
+        """Measure the table, or a simpler one that is known to be no smaller."""
+        size = broadcast_size(df if within is None else within)
+        return cls(df, key, size <= _setting(df, "broadcastBytes", BROADCAST_BYTES))
 
 
 def lookup_join(

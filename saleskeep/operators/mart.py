@@ -19,7 +19,7 @@ REGION_COLUMNS = ("region",)
 
 @dataclass(frozen=True)
 class Mart:
-    """A fact table and its dimensions, sizes already counted.
+    """A fact table and its dimensions, sizes already measured.
 
     A dimension is joined only when one of its columns is asked for: every fact row has
     exactly one row in each dimension, so a join that adds no column changes nothing.

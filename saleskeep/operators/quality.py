@@ -35,7 +35,7 @@ def repeated_ids(rows: DataFrame, key: Column, name: str) -> DataFrame:
 def with_repeats(rows: DataFrame, key: Column, name: str, workspace: Workspace) -> DataFrame:
     """Add ``n`` and ``first_row_key`` of each row's id group, NULL for ids that occur once.
 
-    The repeated ids are written first. They are few in ordinary batches and then a counted
+    The repeated ids are written first. They are few in ordinary batches and then a measured
     broadcast leaves the wide rows where they are; otherwise the join is shuffled and salted.
     """
     repeats = workspace.keep(repeated_ids(rows, key, name), "repeated_ids")

@@ -76,7 +76,7 @@ def keyed_regions(regions: DataFrame, start: int, buckets: int = 1) -> DataFrame
 
 @dataclass(frozen=True)
 class DimensionKeys:
-    """Surrogate keys by business key, sizes already counted."""
+    """Surrogate keys by business key, sizes already measured."""
 
     dates: Lookup
     products: Lookup

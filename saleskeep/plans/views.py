@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from saleskeep.contract import CONTROL_COLUMNS
@@ -9,25 +11,31 @@ from saleskeep.operators.security import permitted_regions
 from saleskeep.plans.store import Store
 
 
-def analytic_views(store: Store) -> dict[str, DataFrame]:
-    """View name to frame; reports should read nothing else."""
-    product, region = store.read("dim_producto"), store.read("dim_region")
-    return {
-        "vw_ventas_analiticas": store.mart().flat(),
-        "vw_fact_ventas": store.published(),
-        "vw_dim_fecha": store.read("dim_fecha"),
-        "vw_dim_producto": product.filter("vigente").select(
-            "producto_key", "producto", "categoria"
-        ),
-        "vw_dim_region": region.filter("vigente").select("region_key", "region"),
-        "vw_usuario_region": permitted_regions(store.read("usuario_region"), region),
-        "vw_control_etl": store.read("etl_control").select(*CONTROL_COLUMNS),
-    }
+def _current_products(store: Store) -> DataFrame:
+    current = store.read("dim_producto").filter("vigente")
+    return current.select("producto_key", "producto", "categoria")
+
+
+def _current_regions(store: Store) -> DataFrame:
+    return store.read("dim_region").filter("vigente").select("region_key", "region")
+
+
+# Reports should read nothing else.
+VIEWS: dict[str, Callable[[Store], DataFrame]] = {
+    "vw_ventas_analiticas": lambda store: store.mart().flat(),
+    "vw_fact_ventas": lambda store: store.published(),
+    "vw_dim_fecha": lambda store: store.read("dim_fecha"),
+    "vw_dim_producto": _current_products,
+    "vw_dim_region": _current_regions,
+    "vw_usuario_region": lambda store: permitted_regions(
+        store.read("usuario_region"), store.read("dim_region")
+    ),
+    "vw_control_etl": lambda store: store.read("etl_control").select(*CONTROL_COLUMNS),
+}
 
 
 def register_views(store: Store) -> list[str]:
     """Register the views for SQL in the session; returns their names."""
-    views = analytic_views(store)
-    for name, frame in views.items():
-        frame.createOrReplaceTempView(name)
-    return list(views)
+    for name, view in VIEWS.items():
+        view(store).createOrReplaceTempView(name)
+    return list(VIEWS)

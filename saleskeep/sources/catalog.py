@@ -163,12 +163,15 @@ class Catalogs:
         products: DataFrame,
         regions: DataFrame,
     ) -> Catalogs:
-        # A catalog has no more keys than entries, and no more categories than products.
-        entries = products.count()
-        product_keys = Lookup.bounded(by_product, "_producto", entries)
+        # A catalog has no more keys than entries, and no more categories than products. The
+        # keyed products hold their name twice.
+        entries = products.select("producto", F.col("producto").alias("name"), "categoria")
+        product_keys = Lookup.measured(by_product, "_producto", within=entries)
         return cls(
             product_keys,
-            Lookup.bounded(by_region, "_region", regions.count()),
+            Lookup.measured(
+                by_region, "_region", within=regions.select("region", F.col("region").alias("r"))
+            ),
             Lookup(by_category, "_categoria", True)
             if product_keys.fits
             else Lookup.measured(by_category, "_categoria"),

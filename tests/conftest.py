@@ -26,11 +26,11 @@ def spark():
 
 @pytest.fixture
 def limits(spark):
-    """Set how many rows are broadcast and how many make a key hot, for one test."""
-    names = ("spark.saleskeep.broadcastRows", "spark.saleskeep.hotRows")
+    """Set how many bytes are broadcast and how many rows make a key hot, for one test."""
+    names = ("spark.saleskeep.broadcastBytes", "spark.saleskeep.hotRows")
 
-    def set_limits(broadcast_rows, hot_rows):
-        for name, value in zip(names, (broadcast_rows, hot_rows)):
+    def set_limits(broadcast_bytes, hot_rows):
+        for name, value in zip(names, (broadcast_bytes, hot_rows)):
             spark.conf.set(name, value)
 
     yield set_limits

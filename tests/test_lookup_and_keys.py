@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from saleskeep.operators.keys import next_key, numbered, ranked_desc
-from saleskeep.operators.lookup import Lookup, lookup_join
+from saleskeep.operators.lookup import Lookup, broadcast_size, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -25,11 +25,11 @@ def test_salted_join_equals_the_plain_join(skewed, how, counted, limits):
     rows, table = skewed
     expected = Counter(map(tuple, rows.join(table, "key", how).select("raw_row_key", "key", "value").collect()))
     weights = rows.groupBy("key").agg(F.count("*").alias("n")) if counted else None
-    for broadcast_rows, hot_rows in ((100, 1), (10, 1), (10, 50), (10, 10_000)):
+    for broadcast_bytes, hot_rows in ((10_000, 1), (5_000, 1), (5_000, 50), (5_000, 10_000)):
         for counted_frame in (None, rows):
-            limits(broadcast_rows, hot_rows)
+            limits(broadcast_bytes, hot_rows)
             lookup = Lookup.measured(table, "key")
-            assert lookup.fits == (broadcast_rows == 100)
+            assert lookup.fits == (broadcast_bytes == 10_000)
             joined = lookup_join(
                 rows, lookup, ["raw_row_key"], how, weights=weights, counted=counted_frame
             )
@@ -59,9 +59,13 @@ def test_salted_join_spreads_the_hot_key(spark, skewed, limits):
 def test_broadcast_only_when_counted_small(skewed, limits):
     rows, table = skewed
     assert Lookup.measured(table, "key").fits
-    limits(60, 1)
+    size = broadcast_size(table)
+    assert size == 61 * (100 + 2 * 8) + 2 * sum(len(row.key) for row in table.collect())
+    limits(size, 1)
+    assert Lookup.measured(table, "key").fits
+    limits(size - 1, 1)
     assert not Lookup.measured(table, "key").fits
-    assert not Lookup.bounded(table, "key", 10**9).fits
+    assert not Lookup.measured(table, "key", within=rows).fits
 
 
 def test_numbers_have_no_gaps_whatever_the_buckets(spark):
