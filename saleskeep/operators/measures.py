@@ -35,7 +35,9 @@ def kpi_cards(
 
     One row, or one per value of ``by``. The average ticket is NULL when there are no sales.
     """
-    slices = {"anio": years, "categoria": categories, "region": regions}
+    if years is not None:
+        mart = mart.in_years(years)
+    slices = {"categoria": categories, "region": regions}
     chosen = {column: values for column, values in slices.items() if values is not None}
     rows = mart.flat("id_venta", "total_venta", "cantidad", *dict.fromkeys((*chosen, *by)))
     for column, values in chosen.items():

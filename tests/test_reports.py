@@ -110,6 +110,10 @@ def test_cards(mart):
     assert card.ticket_promedio == round(1100 / 7, 6)
     sliced = measures.kpi_cards(mart, years=[2026], categories=["X"], regions=["Lima"]).first()
     assert (int(sliced.total_ventas), sliced.numero_ventas) == (400, 3)
+    by_month = measures.kpi_cards(mart, years=[2025, 2026], by=["anio", "mes"]).collect()
+    assert {(r.anio, r.mes): (int(r.total_ventas), r.numero_ventas) for r in by_month} == {
+        (2025, 12): (100, 1), (2026, 1): (500, 3), (2026, 3): (500, 3)}
+    assert measures.kpi_cards(mart, years=[]).first().numero_ventas == 0
     nothing = measures.kpi_cards(mart, regions=[]).first()
     assert (nothing.total_ventas, nothing.numero_ventas, nothing.ticket_promedio) == (None, 0, None)
 
