@@ -1,0 +1,94 @@
+"""Quality and language models: held-out accuracy, exact recursions, odd rows."""
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from saleskeep.llm import language_crf as crf
+from saleskeep.llm import quality_pu as pu
+from saleskeep.llm.common import held_out
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def test_languages_of_unseen_texts(spark, documents):
+    out = held_out("doc_id", 3, 1)
+    model = crf.fit(documents, ~out)
+    found = crf.identify(documents.withColumn("score", F.lit("x")), model, ("doc_id", "lang")).filter(out).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.97
+    english, german = (next(crf.words(r["text"])[:8] for r in documents.filter(F.col("lang") == x).orderBy("doc_id").take(1)) for x in ("en", "de"))
+    labels = [name for _, name in crf.Labeller(model).label_words(" ".join(english + german + english))]
+    assert labels == ["en"] * 8 + ["de"] * 8 + ["en"] * 8
+
+
+def test_odd_texts(spark):
+    rows = [(1, "aa bb aa", "x"), (2, "cc dd cc", "y"), (3, None, "x"), (4, "", None), (5, "12 ² !", "y"), (6, "aa", "x"), (6, "aa", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in crf.identify(df, crf.fit(df, F.lit(True))).collect()}
+    assert {n: found[n] for n in (3, 4, 5)} == dict.fromkeys((3, 4, 5), ("und", 0.0))
+    assert found[1][0] == "x" and found[2][0] == "y" and 0 <= found[1][1] <= 1
+    assert crf.identify(df, crf.fit(df, F.lit(True))).count() == 7
+    nothing = crf.fit(df, F.lit(False))
+    assert {r["lang_pred"] for r in crf.identify(df, nothing).collect()} == {"und"}
+    assert crf.identify(df.limit(0), nothing).count() == 0
+
+
+def test_marginals_equal_all_paths():
+    draw = np.random.default_rng(1)
+    score, step, start = draw.normal(size=(5, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
+    want = np.zeros((5, 3))
+    for path in itertools.product(range(3), repeat=5):
+        weight = start[path[0]] + sum(score[t, k] for t, k in enumerate(path)) + sum(step[a, b] for a, b in zip(path, path[1:]))
+        want[range(5), path] += np.exp(weight)
+    want /= want.sum(axis=1, keepdims=True)
+    found = crf.label_mass(score, np.array([5]), step, start, marginals=True)
+    assert np.allclose(found, want, atol=1e-5)
+
+
+def test_segments_do_not_change_marginals(monkeypatch):
+    draw = np.random.default_rng(2)
+    lengths = np.array([1, 200, 64, 65, 7])
+    score, step, start = draw.normal(size=(lengths.sum(), 4)), draw.normal(size=(4, 4)), draw.normal(size=4)
+    short = crf.label_mass(score, lengths, step, start)
+    monkeypatch.setattr(crf, "SEGMENT", 512)
+    assert np.allclose(short, crf.label_mass(score, lengths, step, start), rtol=1e-4)
+
+
+def test_quality_of_unseen_texts(spark, documents, workspace):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").withColumn("score", F.lit(1))
+    scored = pu.score_quality(documents, labels, ~held_out("doc_id", 3, 1), workspace)
+    assert scored.columns == ["doc_id", "score"]
+    told = scored.join(labels.select("doc_id", "quality"), "doc_id").collect()
+    unseen = [r for r in told if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    good = np.array([r["score"] for r in unseen if r["quality"] == 1])
+    bad = np.array([r["score"] for r in unseen if r["quality"] == 0])
+    assert (good[:, None] > bad[None, :]).mean() > 0.9
+    assert ((good >= 0).all() and (good <= 1).all())
+
+
+def test_prior_of_a_known_mixture():
+    draw = np.random.default_rng(4)
+    bins = lambda x: np.bincount(np.clip(x * pu.BINS, 0, pu.BINS - 1).astype(int), minlength=pu.BINS)
+    good, bad = draw.beta(8, 2, 40_000), draw.beta(2, 8, 40_000)
+    mixed = np.concatenate([good[:28_000], bad[:12_000]])
+    assert abs(pu.class_prior(bins(draw.beta(8, 2, 40_000)), bins(mixed)) - 0.7) < 0.03
+
+
+def test_quality_of_odd_tables(spark, workspace):
+    texts = ["Fine words of a calm text.", None, "", "BAD!! BAD!! " * 3000, "fine words"] * 3
+    rows = [(n if n < 13 else None, t) for n, t in enumerate(texts)] + [(1, "repeated")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(0, 1), (0, 0), (4, 1), (5, 1), (3, None), (None, 1)], "doc_id long, quality int")
+    found = pu.score_quality(df, marks, F.lit(True), workspace).collect()
+    assert len(found) == 16 and all(0 <= r["score"] <= 1 for r in found)
+    none = pu.score_quality(df, marks.limit(0), F.lit(True), workspace)
+    assert {r["score"] for r in none.collect()} == {0.5}
+    assert pu.score_quality(df.limit(0), marks, F.lit(True), workspace).count() == 0
