@@ -14,12 +14,33 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 #: Bytes of text that a task handles at a time.
 SLICE_BYTES = 4 << 20
 
 
+_TYPES = {
+    "int": IntegerType(), "long": LongType(), "double": DoubleType(), "boolean": BooleanType(),
+    "string": StringType(), "binary": BinaryType(),
+}
+
+
+def columns(described: str) -> StructType:
+    """A schema of plain types, "name type, ...", known without a session."""
+    pairs = (part.split() for part in described.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -51,13 +72,13 @@ def raw_texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def record_batch(schema: StructType, columns: list) -> pa.RecordBatch:
+def record_batch(schema: StructType, values: list) -> pa.RecordBatch:
     arrow = to_arrow_schema(schema)
     arrays = [
         c if isinstance(c, (pa.Array, pa.ChunkedArray)) and c.type == f.type
         else c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray))
         else pa.array(c, type=f.type)
-        for c, f in zip(columns, arrow)
+        for c, f in zip(values, arrow)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleskeep.llm import decontamination, language_crf, quality_pu, sentencepiece_scan, sharding, token_counts, topk
+from saleskeep.llm import decontamination, jaccard_tree, language_crf, quality_pu, sentencepiece_scan, sharding, token_counts, topk
 from saleskeep.llm.common import held_out, table
 from saleskeep.workspace import Workspace
 
@@ -24,6 +24,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies: doc_id, n_shingles, component_id, class_size."""
+    return jaccard_tree.near_copies(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -67,7 +72,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
+        op1_quality_classifier, op2_jaccard_join, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
         op8_benchmark_decontamination, op9_language_id,
     )
 }
