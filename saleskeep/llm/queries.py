@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleskeep.llm import decontamination, jaccard_tree, language_crf, quality_pu, sentencepiece_scan, sharding, token_counts, topk
+from saleskeep.llm import decontamination, jaccard_tree, language_crf, passages, quality_pu, sentencepiece_scan, sharding, token_counts, topk
 from saleskeep.llm.common import held_out, table
 from saleskeep.workspace import Workspace
 
@@ -29,6 +29,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tree.near_copies(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that repeat an earlier document."""
+    return passages.find_passages(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -72,7 +77,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_jaccard_join, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
+        op1_quality_classifier, op2_jaccard_join, op3_substring_dedup, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
         op8_benchmark_decontamination, op9_language_id,
     )
 }
