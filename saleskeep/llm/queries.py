@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleskeep.llm import decontamination, jaccard_tree, language_crf, passages, quality_pu, sentencepiece_scan, sharding, token_counts, topk
+from saleskeep.llm import (
+    context_mixing,
+    decontamination,
+    jaccard_tree,
+    language_crf,
+    passages,
+    quality_pu,
+    sentencepiece_scan,
+    sharding,
+    token_counts,
+    topk,
+)
 from saleskeep.llm.common import held_out, table
 from saleskeep.workspace import Workspace
 
@@ -74,11 +85,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all texts under a model of the training texts."""
+    out = held_out("doc_id", 7, 2)
+    scored = context_mixing.score_texts(table(spark, sf_dir, "documents"), ~out, Workspace(spark))
+    return scored.withColumn("held_out", out)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_jaccard_join, op3_substring_dedup, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
-        op8_benchmark_decontamination, op9_language_id,
+        op8_benchmark_decontamination, op9_language_id, op10_lm_scoring,
     )
 }
 
