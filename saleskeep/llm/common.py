@@ -45,6 +45,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(documents: DataFrame) -> DataFrame:
+    """doc_id, text and rest, which holds all other columns out of the way."""
+    others = [c for c in documents.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(0)
+    return documents.select("doc_id", "text", rest.alias("rest"))
+
+
+def put_back(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns `names` of what was set aside."""
+    return rows.select(*(c if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in names))
+
+
 def remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string")) % divisor

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from saleskeep.llm.common import map_texts
+from saleskeep.llm.common import map_texts, put_back, set_aside
 
 WINDOW = 10
 #: Words of benchmark text that are sent to every task at a time.
@@ -212,8 +212,8 @@ def hits(found: DataFrame) -> DataFrame:
 
 def remove_affected(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that hold no window of the benchmark."""
-    found = find_matches(documents, benchmark, window, keep=tuple(documents.columns))
-    return found.filter(F.size("matches") == 0).select(*documents.columns)
+    found = find_matches(set_aside(documents), benchmark, window, keep=("doc_id", "text", "rest"))
+    return put_back(found.filter(F.size("matches") == 0), documents.columns)
 
 
 def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[int, bytes]]]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleskeep.llm.common import map_texts
+from saleskeep.llm.common import map_texts, put_back, set_aside
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -337,3 +337,10 @@ def identify(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_i
         return run
 
     return map_texts(rows, make, schema)
+
+
+def keep_identified(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents that have letters and one language with a share of `least` of their words."""
+    found = identify(set_aside(documents), model, ("doc_id", "text", "rest"))
+    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return put_back(kept, documents.columns)
