@@ -51,14 +51,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded: doc_id, n_tokens, a hash of the ids, round_trip."""
-    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"), Workspace(spark))
-    measured = encoded.select(
-        "doc_id", "text", F.size("ids").cast("long").alias("n_tokens"),
-        F.xxhash64("ids").alias("ids_hash"), "ids",
+    marked = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
     )
-    decoded = sentencepiece_scan.decode(measured)
-    same = F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")
-    return decoded.select("doc_id", "n_tokens", "ids_hash", same.alias("round_trip"))
+    encoded = sentencepiece_scan.encode(marked, Workspace(spark), keep=("doc_id", "text_hash")).select(
+        "doc_id", "text_hash", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), "ids"
+    )
+    same = F.xxhash64("decoded") == F.col("text_hash")
+    return sentencepiece_scan.decode(encoded).select("doc_id", "n_tokens", "ids_hash", same.alias("round_trip"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

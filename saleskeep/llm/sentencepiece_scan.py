@@ -29,7 +29,7 @@ from saleskeep.workspace import Workspace
 #: Characters above which a text is split, and of a chunk.
 CHUNK = 32_768
 #: Pre-tokens a task remembers.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 #: A score no path reaches.
 NEVER = -(1 << 62)
 
@@ -133,7 +133,9 @@ def split(text: str, size: int, ahead: int) -> list[tuple[str, str]]:
     return [(text[a:b], text[b : b + ahead]) for a, b in zip(cuts, cuts[1:])]
 
 
-def _encode_whole(rows: DataFrame, shared, schema: str) -> DataFrame:
+def _encode_whole(rows: DataFrame, shared, schema: StructType) -> DataFrame:
+    """The columns of `rows` that `schema` names, and ids."""
+
     def make():
         encoder = Encoder(shared.value)
 
@@ -142,17 +144,17 @@ def _encode_whole(rows: DataFrame, shared, schema: str) -> DataFrame:
             encoder.learn(words)
             found = list(map(encoder.ids, words))
             ids = np.frombuffer(b"".join(found), "<i4")
-            return [*batch.columns, lists(ids, np.array([len(x) // 4 for x in found]))]
+            return [*(batch.column(c) for c in schema.names[:-1]), lists(ids, np.array([len(x) // 4 for x in found]))]
 
         return encode
 
-    return map_texts(rows, make, schema, limit=2 * SLICE_BYTES)
+    return map_texts(rows, make, schema, limit=SLICE_BYTES // 2)
 
 
-def _encode_giant(rows: DataFrame, shared, chunk: int, workspace: Workspace) -> DataFrame:
-    """`rows` with their ids, by the scan over chunks."""
-    columns = rows.columns
+def _encode_giant(rows: DataFrame, shared, chunk: int, workspace: Workspace, columns: list[str]) -> DataFrame:
+    """`columns` of `rows` with their ids, by the scan over chunks."""
     numbered = workspace.keep(rows.withColumn("key", F.monotonically_increasing_id()), "giant")
+    kept = numbered.select("key", *columns)
     chunk_schema = StructType.fromDDL("key long, chunk int, text string, ahead string")
     matrix_schema = StructType.fromDDL("key long, chunk int, matrix binary")
     state_schema = StructType.fromDDL("key long, chunk int, before int, after int")
@@ -196,7 +198,7 @@ def _encode_giant(rows: DataFrame, shared, chunk: int, workspace: Workspace) ->
     whole = traced.groupBy("key").agg(
         F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids")
     )
-    return numbered.join(whole, "key").select(*columns, "ids")
+    return kept.join(whole, "key").select(*columns, "ids")
 
 
 def encode(
@@ -209,11 +211,13 @@ def encode(
     """`keep` and `ids`, one row per row of `documents`, repeated rows included. Texts that are
     NULL or empty have an empty list."""
     shared = documents.sparkSession.sparkContext.broadcast(voc.load(path))
-    rows = documents.select(*keep)
-    schema = rows.select("*", F.expr("array(0)").alias("ids")).schema
+    columns = documents.select(*keep).columns
+    rows = documents.select(*columns, *([] if "text" in columns else ["text"]))
+    schema = rows.select(*columns, F.expr("array(0)").alias("ids")).schema
     giant = F.coalesce(F.length("text") > chunk, F.lit(False))
     ordinary = _encode_whole(rows.filter(~giant), shared, schema)
-    return ordinary.unionByName(_encode_giant(rows.filter(giant), shared, chunk, workspace))
+    scanned = _encode_giant(rows.filter(giant), shared, chunk, workspace, columns)
+    return ordinary.unionByName(scanned)
 
 
 def decode(encoded: DataFrame, path: str = voc.PIECES, name: str = "decoded") -> DataFrame:
@@ -223,13 +227,12 @@ def decode(encoded: DataFrame, path: str = voc.PIECES, name: str = "decoded") ->
     schema = encoded.select(*kept, F.lit("").alias(name)).schema
 
     def run(batches):
-        texts = shared.value.texts.__getitem__
+        piece = shared.value.texts.__getitem__
         for batch in batches:
-            column = batch.column("ids")
-            values = column.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            pieces = list(map(texts, values.tolist()))
-            made = [b"".join(pieces[a:b])[1:].decode() for a, b in zip([0, *ends[:-1]], ends)]
+            made = []
+            for row in batch.column("ids"):
+                ids = row.values.to_numpy().tolist() if row.is_valid else []
+                made.append(b"".join(map(piece, ids))[1:].decode())
             yield record_batch(schema, [*(batch.column(c) for c in kept), made])
 
     return encoded.select(*kept, "ids").mapInArrow(run, schema)
