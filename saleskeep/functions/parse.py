@@ -6,9 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+CONTROL = r"\x00-\x1F\x7F"
+
+
+def whole_number(text: Column, kind: str) -> Column:
+    """Whole number of a type; casts alone would skip control characters around it."""
+    return F.when(~text.rlike(f"[{CONTROL}]"), text.try_cast(kind))
+
+
 def plain_decimal(text: Column, precision: int, scale: int) -> Column:
     """Decimal written without an exponent, rounded half up to the scale."""
-    return F.when(~text.rlike("[eE]"), text.try_cast(f"decimal({precision},{scale})"))
+    return F.when(~text.rlike(f"[eE{CONTROL}]"), text.try_cast(f"decimal({precision},{scale})"))
 
 
 def any_decimal(text: Column) -> Column:
@@ -17,13 +25,13 @@ def any_decimal(text: Column) -> Column:
 
 
 def dashed_date(text: Column) -> Column:
-    """Date written exactly as yyyy-mm-dd."""
-    return F.when(text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
+    """Date written exactly as yyyy-mm-dd, from year 1."""
+    return F.when(text.rlike(r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
 
 
 def iso_date(text: Column) -> Column:
     """Date in any ISO 8601 calendar or week form: 2026-08-01, 20260801, 2026-W31-6."""
-    week = r"^([0-9]{4})(?:-W([0-9]{2})(?:-([1-7]))?|W([0-9]{2})([1-7])?)$"
+    week = r"^((?!0000)[0-9]{4})(?:-W([0-9]{2})(?:-([1-7]))?|W([0-9]{2})([1-7])?)$"
 
     def part(group: int) -> Column:
         return F.regexp_extract(text, week, group).try_cast("int")
@@ -37,6 +45,6 @@ def iso_date(text: Column) -> Column:
     exists = F.year(F.date_add(monday, 3)) == year
     return F.coalesce(
         dashed_date(text),
-        F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd")),
+        F.when(text.rlike("^(?!0000)[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd")),
         F.when(text.rlike(week) & exists, F.date_add(monday, weekday - 1)),
     )

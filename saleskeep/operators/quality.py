@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleskeep.contract import EVALUATED_SCHEMA, SOURCE_COLUMNS
 from saleskeep.functions.clock import after_business_day
-from saleskeep.functions.parse import dashed_date, plain_decimal
+from saleskeep.functions.parse import dashed_date, plain_decimal, whole_number
 from saleskeep.functions.text import filled, match_key
 from saleskeep.operators.lookup import Lookup, lookup_join
 from saleskeep.sources.catalog import Catalogs
@@ -56,7 +56,7 @@ def prepare(staged: DataFrame, catalogs: Catalogs, workspace: Workspace) -> Data
         *staged.columns,
         F.trim("id_venta").try_cast("bigint").alias("id_typed"),
         dashed_date(F.trim("fecha_venta")).alias("fecha_typed"),
-        F.trim("cantidad").try_cast("int").alias("cantidad_typed"),
+        whole_number(F.trim("cantidad"), "int").alias("cantidad_typed"),
         plain_decimal(F.trim("precio_unitario"), 12, 2).alias("precio_typed"),
         F.coalesce("n", F.lit(1)).cast("bigint").alias("id_count"),
         *catalog_keys(match_key),

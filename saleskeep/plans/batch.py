@@ -191,8 +191,11 @@ def reconcile(store: Store, batch_id: str, extracted_count: int) -> dict[str, An
 
 
 def only_new(store: Store, sales: DataFrame) -> DataFrame:
-    """Sales past the largest published id, for sources that only ever add ids."""
-    return sales.filter(F.col("id_venta") > next_key(store.read("etl_control"), "id_maximo"))
+    """Sales that no earlier batch published: new ones, rejected ones that were mended since,
+    and those whose id is blank or no number, which the quality rules then judge."""
+    published = store.published().select(F.col("id_venta").alias("published_id"))
+    number = F.col("id_venta").cast("string").try_cast("bigint")
+    return sales.join(published, number == F.col("published_id"), "left_anti")
 
 
 def run_daily_batch(
@@ -207,7 +210,7 @@ def run_daily_batch(
 
     By default every source row is extracted. Sales that earlier batches published are then
     skipped, and a batch that holds such sales ends as FAILED; ``incremental`` extracts only
-    ids past the published ones. Rejects are exported before the reconciliation, so they
+    those not published yet. Rejects are exported before the reconciliation, so they
     survive its failure.
     """
     chosen = checked_batch_id(batch_id, clock())
@@ -215,8 +218,10 @@ def run_daily_batch(
     raw = extract_raw(store, rows, chosen, clock())
     stage_raw(store, chosen, raw["raw_uri"], clock())
     workspace = Workspace(store.spark)
-    process_batch(store, chosen, clock(), workspace, strict)
-    workspace.drop()
+    try:
+        process_batch(store, chosen, clock(), workspace, strict)
+    finally:
+        workspace.drop()
     quarantine_uri = export_quarantine(store, chosen, raw["date_prefix"])
     figures = reconcile(store, chosen, raw["extracted_count"])
     return {**raw, **figures, "quarantine_uri": quarantine_uri}

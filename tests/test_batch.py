@@ -3,12 +3,13 @@ from datetime import UTC, date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from saleskeep import contract
 from saleskeep.operators import audit, integrity
 from saleskeep.plans import batch as batches
-from saleskeep.plans.batch import BatchError, initialize, run_daily_batch
+from saleskeep.plans.batch import BatchError, initialize, only_new, run_daily_batch
 from saleskeep.plans.store import query_all, query_one
 from saleskeep.plans.views import register_views
 from saleskeep.sources.catalog import seed_products, seed_regions
@@ -268,3 +269,26 @@ def test_only_batches_that_can_hold_an_id_are_read(spark, store):
     assert read(90, 101) == (12, ["BATCH-A", "BATCH-B"])
     assert read(201, 300) == (0, [])
     assert read(None, 10) == (10, ["BATCH-A"])
+
+
+def test_a_lost_fact_folder_is_an_error(spark, store, tmp_path):
+    run_daily_batch(store, synthetic_sales(spark, 100), "BATCH-A", at())
+    run_daily_batch(store, synthetic_sales(spark, 130), "BATCH-B", at(1), incremental=True)
+    assert store.published().count() == sum(r["registros_publicados"] for r in store.read("etl_control").collect())
+    folder = spark._jvm.org.apache.hadoop.fs.Path(store._folder("fact_ventas", "BATCH-A"))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    with pytest.raises(AnalysisException):
+        store.published().count()
+
+
+def test_incremental_extraction_loses_no_row(spark, store):
+    rows = spark.createDataFrame([(i,) for i in ("-4", "0", "3", None, "", "A7")], "id_venta string")
+    assert only_new(store, rows).count() == 6
+    run_daily_batch(store, synthetic_sales(spark, 100), "BATCH-A", at())
+    published = {r["id_venta"] for r in store.published().collect()}
+    rejected = sorted(set(range(1, 101)) - published)
+    ids = [str(i) for i in (*published, *rejected, 900)]
+    found = only_new(store, rows.union(spark.createDataFrame([(i,) for i in ids], "id_venta string")))
+    left = {r["id_venta"] for r in found.collect()}
+    assert {"-4", "0", None, "", "A7", "900", *map(str, rejected)} - {"3"} <= left
+    assert not left & {str(i) for i in published}

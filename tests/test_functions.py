@@ -79,3 +79,14 @@ def test_text_cleaning(spark):
     assert all(char.isspace() for char in text.WHITESPACE)
     spaces = [chr(code) for code in range(0x110000) if chr(code).isspace()]
     assert set(spaces) == set(text.WHITESPACE)
+
+
+def test_dates_begin_with_year_one(spark):
+    assert column(spark, parse.dashed_date, ["0000-01-01", "0001-01-01"]) == [None, date(1, 1, 1)]
+    assert column(spark, parse.iso_date, ["0000-01-01", "00000101", "0000-W05", "00010101"]) == [None, None, None, date(1, 1, 1)]
+
+
+def test_control_characters_are_no_part_of_a_number(spark):
+    whole = lambda x: parse.whole_number(x, "int")
+    assert column(spark, whole, ["5", "\t5", "5\n", "-3", "x"]) == [5, None, None, -3, None]
+    assert column(spark, lambda x: parse.plain_decimal(x, 12, 2), ["1.5", "\x001.5", "1.5\r"]) == [Decimal("1.50"), None, None]
