@@ -31,10 +31,11 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a frame and return it as read back from the written table."""
+    def keep(self, df: DataFrame, name: str, options: dict[str, int] | None = None) -> DataFrame:
+        """Write a frame, with options of the Parquet writer, and return it as read back from the
+        written table."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
