@@ -7,6 +7,7 @@ neither clash nor travel along.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,19 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         start = end
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = SLICE_BYTES) -> Iterator[None]:
+    """What is written inside goes to Python in batches of about `limit` bytes, whole rows each,
+    instead of the session's limit."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def raw_texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each text."""
     return column.cast(pa.binary()).to_pylist()
