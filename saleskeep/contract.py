@@ -36,6 +36,7 @@ _KINDS = {
     "decimal(12,2)": T.DecimalType(12, 2),
     "decimal(14,2)": T.DecimalType(14, 2),
     "decimal(18,2)": T.DecimalType(18, 2),
+    "decimal(38,2)": T.DecimalType(38, 2),
     "decimal(37,4)": T.DecimalType(37, 4),
 }
 
@@ -81,8 +82,8 @@ REJECTS_SCHEMA = _schema(
 CONTROL_SCHEMA = _schema(
     "batch_id string, fecha_inicio timestamp_ntz, fecha_fin timestamp_ntz, "
     "registros_origen bigint, registros_validos bigint, registros_rechazados bigint, "
-    "registros_publicados bigint, importe_origen decimal(18,2), "
-    "importe_publicado decimal(18,2), estado string, registros_ya_publicados bigint, "
+    "registros_publicados bigint, importe_origen decimal(38,2), "
+    "importe_publicado decimal(38,2), estado string, registros_ya_publicados bigint, "
     "ultima_venta_key bigint, id_minimo bigint, id_maximo bigint"
 )
 # The last four control columns are additions: valid rows that an earlier batch had published,
