@@ -326,11 +326,19 @@ def vw_user_region(w: Warehouse) -> DataFrame:
     return permitted.join(region, "region_key").select("usuario_correo", "region")
 
 
+def seen_by_user(w: Warehouse) -> Mart:
+    permitted = permitted_regions(w.store.read("usuario_region"), w.done.read("dim_region"))
+    return visible_sales(w.mart, permitted, "customer#000000001@example.com")
+
+
 def rls_sales(w: Warehouse) -> DataFrame:
     """Sales by region and month as one regional user sees them."""
-    permitted = permitted_regions(w.store.read("usuario_region"), w.done.read("dim_region"))
-    seen = visible_sales(w.mart, permitted, "customer#000000001@example.com")
-    return seen.totals("region", "anio", "mes")
+    return seen_by_user(w).totals("region", "anio", "mes")
+
+
+def rls_regions(w: Warehouse) -> DataFrame:
+    """The regions that this user sees, with sales or without."""
+    return seen_by_user(w).regions.df.select("region")
 
 
 def on_mart(report: Callable, *arguments, **options) -> Query:
@@ -387,12 +395,16 @@ QUERIES: dict[str, Query] = {
     "vw_control": view("vw_control_etl"),
     "vw_user_region": on_warehouse(vw_user_region),
     "rls_sales": on_warehouse(rls_sales),
+    "rls_regions": on_warehouse(rls_regions),
     "olap_region": on_mart(olap.sales_by_region),
     "olap_month_category": on_mart(olap.sales_by_month_and_category),
     "olap_rollup": on_mart(olap.rollup_region_product),
     "olap_cube": on_mart(olap.cube_region_category_month),
     "olap_grouping_sets": on_mart(olap.selected_groupings),
-    "matrix_category_region": on_mart(olap.matrix_category_region),
+    "category_region": on_mart(olap.category_region_totals),
+    "matrix_category_region": on_mart(
+        olap.matrix_category_region, regions=["africa", "america", "asia", "europe", "middle east"]
+    ),
     "monthly_sales": on_mart(olap.monthly_sales),
     "kpi_cards": on_mart(measures.kpi_cards),
     "kpis_by_region_month": on_mart(measures.kpi_cards, by=("region", "anio", "mes")),

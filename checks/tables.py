@@ -81,7 +81,8 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sale as text, regions in lower case, with faults by the last digits of the id.
 
-    All sales stay; out of every thousand ids some get one field changed.
+    All sales stay; out of every thousand ids some get one field changed. Line numbers run from
+    1 to 7, so only ids with such a last digit occur.
     """
     text = as_text(sales(spark, sf_dir)).withColumn(
         "_case", F.col("id_venta").cast("bigint") % 1000
@@ -95,17 +96,18 @@ def faulty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         return value.alias(name)
 
     return text.select(
-        changed("id_venta", F.col("id_venta"), c0=F.lit(""),
+        changed("id_venta", F.col("id_venta"), c24=F.lit(""),
                 c16=F.concat(F.lit("A"), "id_venta"), c17=F.concat(F.lit(" "), "id_venta")),
         changed("fecha_venta", F.col("fecha_venta"), c1=F.lit("2026-02-30"),
-                c2=F.lit("2026-09-02"), c9=F.translate("fecha_venta", "-", "")),
+                c2=F.lit("2026-09-02"), c26=F.translate("fecha_venta", "-", "")),
         changed("producto", F.col("producto"), c3=F.lit(" "), c4=F.upper("producto")),
         changed("categoria", F.col("categoria"), c5=F.lit("UNKNOWN"), c6=other_category,
-                c10=F.lit("")),
+                c27=F.lit("")),
         changed("region", F.lower("region"), c7=F.lit("nowhere"),
-                c18=F.concat(F.lit("\t"), F.lower("region"))),
-        changed("cantidad", F.col("cantidad"), c11=F.lit("0"), c12=F.lit("2.5"),
-                c8=F.concat(F.lit(" "), "cantidad", F.lit(" "))),
+                c31=F.concat(F.lit("\t"), F.lower("region"))),
+        changed("cantidad", F.col("cantidad"), c11=F.lit("0"), c12=F.lit("2.5"), c22=F.lit("1e23"), c23=F.lit("25e-1"),
+                c25=F.concat(F.lit(" "), "cantidad", F.lit(" ")),
+                c32=F.concat(F.lit("\t"), "cantidad")),
         changed("precio_unitario", F.col("precio_unitario"), c13=F.lit("0"), c14=F.lit("x"),
-                c15=F.lit("1e2")),
+                c15=F.lit("1e2"), c21=F.lit("0.0000000000000000001")),
     )

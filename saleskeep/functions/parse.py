@@ -19,9 +19,33 @@ def plain_decimal(text: Column, precision: int, scale: int) -> Column:
     return F.when(~text.rlike(f"[eE{CONTROL}]"), text.try_cast(f"decimal({precision},{scale})"))
 
 
-def any_decimal(text: Column) -> Column:
-    """Decimal in any usual notation, exponents included."""
-    return text.try_cast("decimal(38,18)")
+# Sign, digits before and after the point, exponent.
+NUMBER = r"^\s*([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\s*$"
+
+
+def number_sign(text: Column) -> Column:
+    """-1, 0 or 1 for a number of any size and any number of decimals, exponents included."""
+    digits = F.concat(F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3))
+    sign = (
+        F.when(~digits.rlike("[1-9]"), 0)
+        .when(F.regexp_extract(text, NUMBER, 1) == "-", -1)
+        .otherwise(1)
+    )
+    return F.when(text.rlike(NUMBER), sign)
+
+
+def is_whole(text: Column) -> Column:
+    """Whether a number of any size is a whole one: its last digit that is not zero stands
+    before the point, once the exponent has moved that."""
+    before, after = F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3)
+    exponent = F.regexp_extract(text, NUMBER, 4)
+    digits = F.concat(before, after)
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    # An exponent beyond bigint moves the point further than any text is long.
+    far = F.when(exponent.startswith("-"), F.lit(-(1 << 40))).otherwise(F.lit(1 << 40))
+    moved = F.when(exponent == "", F.lit(0)).otherwise(F.coalesce(exponent.try_cast("bigint"), far))
+    decimals = (F.length(after) - zeros).cast("bigint")
+    return F.when(text.rlike(NUMBER), ~digits.rlike("[1-9]") | (moved >= decimals))
 
 
 def dashed_date(text: Column) -> Column:

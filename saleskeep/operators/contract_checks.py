@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleskeep.contract import SOURCE_FIELDS
-from saleskeep.functions.parse import dashed_date, plain_decimal
+from saleskeep.functions.parse import dashed_date, plain_decimal, whole_number
 from saleskeep.functions.text import filled
 from saleskeep.operators.quality import catalog_keys, with_catalogs, with_repeats
 from saleskeep.sources.catalog import Catalogs
@@ -34,7 +34,7 @@ def field_findings(
             return dashed_date(text)
         if kind.startswith("decimal"):
             return plain_decimal(text, 12, 2)
-        return text.try_cast(kind)
+        return text if kind == "string" else whole_number(text, kind)
 
     broken = {
         "unique": lambda value: F.col("n").isNotNull(),

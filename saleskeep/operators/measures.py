@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from saleskeep.operators.keys import ranked_desc
 from saleskeep.operators.mart import MONEY, Mart
 
-# The report's measures over rows of the flat view, for any grouping. Published sale ids are
-# unique, so counting them is counting distinct ones.
+# The report's measures over totals of the mart, for any grouping of them. Published sale ids
+# are unique, so counting sales is counting distinct ones.
 MEASURES: dict[str, Callable[[], Column]] = {
-    "total_ventas": lambda: F.sum("total_venta").cast(MONEY),
-    "total_unidades": lambda: F.sum("cantidad"),
-    "numero_ventas": lambda: F.count("id_venta"),
+    "total_ventas": lambda: F.sum("ventas_totales").cast(MONEY),
+    "total_unidades": lambda: F.sum("unidades_vendidas"),
+    "numero_ventas": lambda: F.coalesce(F.sum("numero_ventas"), F.lit(0)),
     "ticket_promedio": lambda: F.round(
-        F.try_divide(F.sum("total_venta").cast("double"), F.count("id_venta")), 6
+        F.try_divide(F.sum("ventas_totales").cast("double"), F.sum("numero_ventas")), 6
     ),
 }
 # Ranges used to rank more products than one task should.
@@ -39,7 +39,7 @@ def kpi_cards(
         mart = mart.in_years(years)
     slices = {"categoria": categories, "region": regions}
     chosen = {column: values for column, values in slices.items() if values is not None}
-    rows = mart.flat("id_venta", "total_venta", "cantidad", *dict.fromkeys((*chosen, *by)))
+    rows = mart.totals(*dict.fromkeys((*chosen, *by)))
     for column, values in chosen.items():
         rows = rows.filter(F.col(column).isin(list(values)))
     return rows.groupBy(*by).agg(*(measure().alias(name) for name, measure in MEASURES.items()))

@@ -17,8 +17,6 @@ from saleskeep.operators.mart import MONEY, Mart
 GRAND_TOTAL = "TOTAL GENERAL"
 ALL_PRODUCTS = "TODOS LOS PRODUCTOS"
 REGION_SUBTOTAL = "SUBTOTAL REGIÓN"
-# A pivot needs its columns listed; more distinct values than this make no readable matrix.
-MATRIX_COLUMNS = 1_000
 
 
 def _amount():
@@ -88,12 +86,12 @@ def selected_groupings(mart: Mart) -> DataFrame:
     )
 
 
-def matrix_category_region(mart: Mart, regions: Sequence[str] | None = None) -> DataFrame:
-    """Categories down, regions across, amounts in the cells."""
-    if regions is None:
-        names = mart.regions.df.select("region").distinct().orderBy("region")
-        regions = [row.region for row in names.take(MATRIX_COLUMNS + 1)]
-        if len(regions) > MATRIX_COLUMNS:
-            raise ValueError(f"more than {MATRIX_COLUMNS} regions: name those to show")
-    totals = mart.totals("categoria", "region")
+def category_region_totals(mart: Mart) -> DataFrame:
+    """The cells of the matrix as rows, for any number of regions."""
+    return mart.totals("categoria", "region").select("categoria", "region", "ventas_totales")
+
+
+def matrix_category_region(mart: Mart, regions: Sequence[str]) -> DataFrame:
+    """Categories down, the regions named across, amounts in the cells."""
+    totals = category_region_totals(mart)
     return totals.groupBy("categoria").pivot("region", list(regions)).agg(_amount())

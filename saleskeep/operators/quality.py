@@ -54,7 +54,7 @@ def prepare(staged: DataFrame, catalogs: Catalogs, workspace: Workspace) -> Data
     counted = with_repeats(staged, F.coalesce(id_key, F.lit("\0")), "_id", workspace)
     typed = counted.select(
         *staged.columns,
-        F.trim("id_venta").try_cast("bigint").alias("id_typed"),
+        whole_number(F.trim("id_venta"), "bigint").alias("id_typed"),
         dashed_date(F.trim("fecha_venta")).alias("fecha_typed"),
         whole_number(F.trim("cantidad"), "int").alias("cantidad_typed"),
         plain_decimal(F.trim("precio_unitario"), 12, 2).alias("precio_typed"),

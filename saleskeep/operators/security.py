@@ -22,15 +22,15 @@ def permitted_regions(access: DataFrame, dim_region: DataFrame) -> DataFrame:
 
 
 def visible_sales(mart: Mart, permitted: DataFrame, user: str | None) -> Mart:
-    """The mart as a user sees it; ``None`` stands for the role without restriction.
+    """The mart as a user sees it, its regions and the sales in them; ``None`` stands for the
+    role without restriction.
 
-    One user has at most one grant per region, so the list of keys is as small as the region
-    dimension and is broadcast only if that one was counted to fit.
+    The user's keys are measured themselves: few are broadcast, many meet the salted fact.
     """
     if user is None:
         return mart
-    keys = permitted.filter(F.col("usuario_correo") == user).select("region_key").distinct()
-    if mart.regions.fits:
-        keys = F.broadcast(keys)
-    fact = mart.fact.join(keys, "region_key", "left_semi")
-    return Mart(fact, mart.dates, mart.products, mart.regions)
+    granted = permitted.filter(F.col("usuario_correo") == user).select("region_key").distinct()
+    keys = Lookup.measured(granted, "region_key")
+    fact = lookup_join(mart.fact, keys, ["id_venta"], "inner").select(*mart.fact.columns)
+    regions = mart.regions.df.join(granted, "region_key", "left_semi")
+    return Mart(fact, mart.dates, mart.products, Lookup(regions, "region_key", mart.regions.fits))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from saleskeep.contract import ARTIFACT_SCHEMA, SCHEMA_VERSION
 from saleskeep.frames import small_frame
 from saleskeep.functions.clock import checked_batch_id, date_folder, instant, utc_now
+from saleskeep.functions.parse import whole_number
 from saleskeep.operators.audit import (
     batch_control,
     batch_summary,
@@ -41,7 +42,7 @@ from saleskeep.sources.catalog import Catalogs
 from saleskeep.sources.landing import land_manifest, land_raw, quarantine_json, read_landed
 from saleskeep.workspace import Workspace
 
-# Groups that number new members when the catalog is too large for one task.
+# Groups that number new members, whatever their number: it decides the keys.
 KEY_BUCKETS = 4_096
 
 Clock = Callable[[], datetime]
@@ -123,7 +124,7 @@ def process_batch(
         store.clear_batch("etl_control", batch_id)
     store.replace_batch("dq_rechazos", rejects(evaluated, instant(now)), batch_id)
     valid = valid_rows(evaluated)
-    grow_dimensions(store, valid, catalogs, workspace)
+    grow_dimensions(store, valid, workspace)
     # Ids outside the batch's own range are no duplicates of it, whoever published them.
     published = store.published(figures.lowest_id, figures.highest_id)
     keys = DimensionKeys.measured(
@@ -142,24 +143,19 @@ def process_batch(
     store.replace_batch("etl_control", control, batch_id)
 
 
-def grow_dimensions(
-    store: Store, valid: DataFrame, catalogs: Catalogs, workspace: Workspace
-) -> None:
-    """Append the members that valid rows bring and the dimensions lack.
-
-    Valid rows name catalog entries only, so a small catalog bounds the new members.
-    """
+def grow_dimensions(store: Store, valid: DataFrame, workspace: Workspace) -> None:
+    """Append the members that valid rows bring and the dimensions lack."""
     dim_date, dim_product = store.read("dim_fecha"), store.read("dim_producto")
     dim_region = store.read("dim_region")
     products = keyed_products(
         new_products(valid, dim_product),
         next_key(dim_product, "producto_key"),
-        1 if catalogs.products.fits else KEY_BUCKETS,
+        KEY_BUCKETS,
     )
     regions = keyed_regions(
         new_regions(valid, dim_region),
         next_key(dim_region, "region_key"),
-        1 if catalogs.regions.fits else KEY_BUCKETS,
+        KEY_BUCKETS,
     )
     for table, members in (
         ("dim_fecha", new_dates(valid, dim_date)),
@@ -194,7 +190,7 @@ def only_new(store: Store, sales: DataFrame) -> DataFrame:
     """Sales that no earlier batch published: new ones, rejected ones that were mended since,
     and those whose id is blank or no number, which the quality rules then judge."""
     published = store.published().select(F.col("id_venta").alias("published_id"))
-    number = F.col("id_venta").cast("string").try_cast("bigint")
+    number = whole_number(F.col("id_venta").cast("string"), "bigint")
     return sales.join(published, number == F.col("published_id"), "left_anti")
 
 

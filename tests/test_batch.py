@@ -160,7 +160,7 @@ def _land(store, rows):
 
 def test_unsafe_batch_ids_stop_before_any_work():
     with pytest.raises(ValueError, match="unsupported"):
-        run_daily_batch(object(), object(), "BATCH'; DROP TABLE dw.fact_ventas;--")
+        run_daily_batch(object(), object(), "BATCH/../1")
 
 
 def test_one_id_written_in_two_ways_publishes_nothing(spark, store):

@@ -98,7 +98,7 @@ def test_grouping_sets(mart):
 
 
 def test_matrix(mart):
-    matrix = olap.matrix_category_region(mart)
+    matrix = olap.matrix_category_region(mart, ["Lima", "Sur"])
     assert matrix.columns == ["categoria", "Lima", "Sur"]
     assert sorted(rows(matrix)) == [("X", 500, 50), ("Y", 250, 300)]
     assert sorted(rows(olap.matrix_category_region(mart, ["Sur"]))) == [("X", 50), ("Y", 300)]
@@ -149,6 +149,8 @@ def test_access_by_region(spark, mart, frames):
         return measures.kpi_cards(visible_sales(mart, permitted, user)).first().total_ventas
 
     assert [total(user) for user in ("a@x", "b@x", "c@x", None)] == [350, None, 1100, 1100]
+    seen = [visible_sales(mart, permitted, user).regions.df.count() for user in ("a@x", "b@x", "c@x", None)]
+    assert seen == [1, 0, 2, 2]
 
 
 def test_only_needed_dimensions_are_read(frames):
