@@ -115,6 +115,27 @@ def test_repeated_and_missing_ids_take_no_part(spark, workspace):
     assert sorted(r["text"] for r in passages.remove_passages(df, workspace).collect()) == sorted([text] * 3 + ["else"])
 
 
+def test_verbatim_repeats_whose_parts_occur_elsewhere(spark, workspace):
+    """Every word of a verbatim repeat is in a passage, whichever documents held its parts first."""
+    draw = np.random.default_rng(21)
+    rows = []
+    for n in range(12):
+        text = [f"t{n}_{x}" for x in draw.integers(0, 10**6, 65)]
+        rows += [(n, 1, text[:45]), (n, 2, text[20:]), (n, 5, text), (n, 9, text)]
+    own = lambda: [f"o{x}" for x in draw.integers(0, 10**9, 30)]
+    docs = {n + 100 * k: own() + w + own() for n, k, w in rows}
+    parts = [[f"p{m}_{x}" for x in draw.integers(0, 10**6, 25)] for m in range(8)]
+    docs |= {2000 + n: sum((parts[m] for m in draw.integers(0, 8, 5)), own()) for n in range(60)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    covered = {(r["doc_id"], p) for r in passages.find_passages(df, workspace).collect() for p in range(r["start_word"], r["end_word"])}
+    first, repeated = {}, set()
+    for i in sorted(docs):
+        for p in range(len(docs[i]) - 49):
+            if first.setdefault(tuple(docs[i][p : p + 50]), i) != i:
+                repeated |= {(i, p + k) for k in range(50)}
+    assert len(repeated) > 1_000 and not repeated - covered
+
+
 def test_cut():
     assert passages.cut(b" a  b c\nd e ", [(1, 3)]) == b" a  d e "
     assert passages.cut(b"a b c", [(0, 2), (1, 3)]) == b""
