@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saleskeep.frames import small_frame
 from saleskeep.llm.common import map_texts, put_back, set_aside
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
-#: The bounded sample the model is fitted to: about so many texts of each language, drawn by
-#: the hashes of the texts, of up to so many characters.
+#: The bounded sample the model is fitted to: so many different texts of each language, drawn by
+#: the hashes of the texts, and up to so many characters of each.
 SAMPLE_ROWS, SAMPLE_CHARACTERS = 300, 50_000
 BUCKETS = 1 << 18
 LEXICON_MINIMUM = 3
@@ -303,18 +304,29 @@ def _groups(items: list[int], sizes: list[int], limit: int):
 
 
 def fit(documents: DataFrame, learnable: Column, rows: int = SAMPLE_ROWS, characters: int = SAMPLE_CHARACTERS) -> Model:
-    """A model of the languages in `lang`, from about `rows` learnable texts of each: distinct
-    ones whose hash falls into the share of the language's texts that `rows` are."""
+    """A model of the languages in `lang`, from `rows` learnable texts of each, or all if there
+    are fewer: of its different texts those with the smallest hashes. Of a text of more than
+    `characters` only so many are read, from its first letter on."""
     labelled = documents.select("text", "lang", learnable.alias("learnable")).filter(
         "learnable AND lang IS NOT NULL AND text IS NOT NULL"
     )
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    begin = F.when(F.length("text") > characters, F.regexp_instr("text", F.lit(r"\p{L}"))).otherwise(1)
+    labelled = labelled.filter(F.col("text").rlike(r"\p{L}")).select("lang", F.col("text").substr(begin, F.lit(characters)).alias("text"))
+    hashed = labelled.select("lang", F.xxhash64("text").alias("hash"))
+    counts = {r["lang"]: r["n"] for r in hashed.distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return train([], [])
-    share = F.create_map(*(F.lit(x) for name, n in counts.items() for x in (name, rows / n)))
-    fits = (F.length("text") <= characters) & F.col("text").rlike(r"\p{L}")
-    chosen = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
-    sample = sorted(map(tuple, labelled.filter(fits & chosen).select("lang", "text").distinct().collect()))
+    # Twice the share that `rows` are, so that chance does not leave too few.
+    share = F.create_map(*(F.lit(x) for name, n in counts.items() for x in (name, min(1.0, 2 * rows / n))))
+    near = hashed.filter(F.pmod("hash", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).distinct().collect()
+    chosen = {name: [] for name in counts}
+    for name, code in sorted(near, key=lambda r: (r["hash"] % (1 << 30), r["hash"])):
+        if len(chosen[name]) < rows:
+            chosen[name].append(code)
+    wanted = [(name, code) for name, codes in chosen.items() for code in codes]
+    listed = small_frame(documents.sparkSession, wanted, hashed.schema)
+    picked = labelled.withColumn("hash", F.xxhash64("text")).join(F.broadcast(listed), ["lang", "hash"])
+    sample = sorted(map(tuple, picked.select("lang", "text").distinct().collect()))
     return train([words(text) for _, text in sample], [name for name, _ in sample])
 
 

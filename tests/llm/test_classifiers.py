@@ -41,6 +41,19 @@ def test_odd_texts(spark):
     assert crf.identify(df.limit(0), nothing).count() == 0
 
 
+def test_copies_and_long_texts_leave_a_full_sample(spark, monkeypatch):
+    """The sample is counted in different texts: copies, long texts and texts without letters
+    do not make it smaller."""
+    monkeypatch.setattr(crf, "train", lambda texts, names: list(zip(names, map(tuple, texts))))
+    rows = [("same text", "x")] * 4_000 + [("1 2 3", "x")] * 500 + [(f"text {chr(97 + n // 26)}{chr(97 + n % 26)}", "x") for n in range(200)]
+    rows += [("7 " * 100 + f"long {chr(97 + n)} " * 50, "y") for n in range(4)] + [("short", "z"), ("short", "z")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    found = crf.fit(df, F.lit(True), rows=20, characters=100)
+    assert len(set(found)) == len(found)
+    assert {x: sum(name == x for name, _ in found) for x in "xyz"} == {"x": 20, "y": 4, "z": 1}
+    assert all(text[0] == "long" for name, text in found if name == "y")
+
+
 def test_marginals_equal_all_paths():
     draw = np.random.default_rng(1)
     score, step, start = draw.normal(size=(5, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
