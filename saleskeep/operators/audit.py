@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import ROUND_HALF_EVEN, Context, Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from saleskeep.contract import CONTROL_SCHEMA, SCHEMA_VERSION, SOURCE_COLUMNS, SOURCE_SYSTEM
 from saleskeep.functions.clock import batch_instant
+from saleskeep.functions.parse import NUMBER
 
 MONEY = "decimal(38,2)"
 
@@ -165,6 +167,48 @@ def combined_hash() -> Column:
     return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *parts), 256)
 
 
+def _parts(text: Column) -> tuple[Column, Column]:
+    """A number's digits as a whole number, and the power of ten it is multiplied by; the digits
+    are NULL for what is no number, or one of more than 19 digits between its outer zeros."""
+    before, after = F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3)
+    exponent = F.regexp_extract(text, NUMBER, 4)
+    digits = F.ltrim(F.concat(before, after), F.lit("0"))
+    short = F.rtrim(digits, F.lit("0"))
+    sign = F.when(F.regexp_extract(text, NUMBER, 1) == "-", "-").otherwise("")
+    whole = F.when(short == "", "0").when(F.length(short) <= 19, F.concat(sign, short))
+    power = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("bigint"))
+    power = power + F.length(digits) - F.length(short) - F.length(after)
+    return F.when(text.rlike(NUMBER), whole).cast("decimal(19,0)"), F.when(short == "", F.lit(0)).otherwise(power)
+
+
+def exact_amount(landed: DataFrame) -> Decimal:
+    """The sum of quantity times price over all rows in which both are numbers, without rounding.
+
+    Products are added up per power of ten, in two halves that do not overflow, and the few sums
+    are put together on the driver. Numbers of more than 19 digits, or with a power of ten beyond
+    1,000, are an error."""
+    texts = [F.col(name) for name in ("cantidad", "precio_unitario")]
+    (one, power), (other, power_2) = map(_parts, texts)
+    read = landed.filter(texts[0].rlike(NUMBER) & texts[1].rlike(NUMBER)).select(
+        (one * other).cast("decimal(38,0)").alias("product"), (power + power_2).alias("power")
+    )
+    fits = F.col("product").isNotNull() & F.coalesce(
+        (F.col("product") == 0) | F.col("power").between(-1_000, 1_000), F.lit(False)
+    )
+    step = F.lit(Decimal(10**19))
+    low = (F.col("product") % step).cast("decimal(19,0)")
+    high = ((F.col("product") - low) / step).cast("decimal(19,0)")
+    sums = read.groupBy(F.when(fits & (F.col("product") != 0), F.col("power")).alias("power")).agg(
+        F.sum(F.when(fits, low)).alias("low"), F.sum(F.when(fits, high)).alias("high"), F.count_if(~fits).alias("unfit")
+    ).collect()
+    if unfit := sum(r.unfit for r in sums):
+        raise ValueError(f"{unfit} rows have an amount too long to add up")
+    whole = sum(
+        (int(r.high) * 10**19 + int(r.low)) * 10 ** (2_000 + r.power) for r in sums if r.power is not None
+    )
+    return Decimal(whole).scaleb(-2_000, Context(prec=9_999, Emax=99_999, Emin=-99_999))
+
+
 def manifest(
     landed: DataFrame,
     batch_id: str,
@@ -173,17 +217,15 @@ def manifest(
     schema_version: str = SCHEMA_VERSION,
     source_system: str = SOURCE_SYSTEM,
 ) -> DataFrame:
-    """One-row manifest of a landed batch: every row counts, unreadable amounts add nothing.
+    """One-row manifest of a landed batch: every row counts, unreadable amounts add nothing and
+    readable ones are added up whatever their size and decimals.
 
     The extraction time is the one the batch id names, or ``extracted_at``.
     """
-    amount = F.col("cantidad").try_cast("decimal(18,4)") * F.col("precio_unitario").try_cast(
-        "decimal(18,4)"
-    )
-    facts = with_row_hash(landed, SOURCE_COLUMNS, amount.alias("amount")).agg(
-        F.count("*").alias("record_count"),
-        F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
-        combined_hash().alias("sha256"),
+    exact = Context(prec=9_999, rounding=ROUND_HALF_EVEN)
+    amount = f"{exact_amount(landed).quantize(Decimal('0.01'), context=exact):f}"
+    facts = with_row_hash(landed, SOURCE_COLUMNS).agg(
+        F.count("*").alias("record_count"), combined_hash().alias("sha256")
     )
     instant = F.coalesce(batch_instant(F.lit(batch_id)), extracted_at).cast("string")
     return facts.select(
@@ -195,6 +237,6 @@ def manifest(
         ),
         F.lit(file_name).alias("file_name"),
         "record_count",
-        F.bround("amount", 2).cast("decimal(38,2)").cast("string").alias("total_amount"),
+        F.lit(amount).alias("total_amount"),
         "sha256",
     )

@@ -1,6 +1,6 @@
 import json
 from datetime import UTC, date, datetime
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +139,19 @@ def test_manifest_counts_every_row_and_adds_what_it_can_read(spark):
     assert other.extracted_at_utc == "2026-09-05T01:02:03+00:00"
 
 
+def test_manifest_adds_amounts_of_any_size(spark):
+    pairs = [("1e23", "19.99"), ("3", "1e-19"), ("20000", "0.00000025"), ("-7", ".5"), ("1" * 19, "9" * 19), ("9" * 19, "9" * 19),
+             ("0", "1e99"), (" 2 ", "3.50"), ("x", "1"), ("", ""), (None, "2")]
+    rows = text_rows(spark, [("1", "", "", "", "", q, p) for q, p in pairs])
+    with localcontext(prec=200):
+        want = sum(Decimal(q) * Decimal(p) for q, p in pairs[:8])
+        assert manifest(rows, "T", F.lit(None)).first().total_amount == f"{want:.2f}"
+    assert manifest(rows.limit(0), "T", F.lit(None)).first().total_amount == "0.00"
+    long = text_rows(spark, [("1", "", "", "", "", "1" * 20, "1")])
+    with pytest.raises(ValueError, match="1 rows"):
+        manifest(long, "T", F.lit(None))
+
+
 def test_synthetic_sales_are_repeatable_and_in_range(spark):
     first = synth.synthetic_sales(spark, 5_000)
     assert first.schema.simpleString() == contract.SALES_SCHEMA.simpleString()
