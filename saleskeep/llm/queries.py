@@ -12,6 +12,7 @@ from saleskeep.llm import (
     decontamination,
     jaccard_tree,
     language_crf,
+    packing,
     passages,
     quality_pu,
     sentencepiece_scan,
@@ -92,11 +93,19 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", out)
 
 
+def op11_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of 2048: doc_id, piece, start, length, ids_crc32,
+    sequence_id, offset."""
+    cut = packing.pieces(table(spark, sf_dir, "documents"))
+    marked = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(marked, Workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_jaccard_join, op3_substring_dedup, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
-        op8_benchmark_decontamination, op9_language_id, op10_lm_scoring,
+        op8_benchmark_decontamination, op9_language_id, op10_lm_scoring, op11_bestfit_packing,
     )
 }
 
