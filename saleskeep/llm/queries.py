@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from saleskeep.llm import (
     context_mixing,
     decontamination,
+    dual_tree,
     jaccard_tree,
     language_crf,
     packing,
@@ -101,11 +102,17 @@ def op11_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(marked, Workspace(spark))
 
 
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item: item_id, rank, doc_id, score."""
+    return dual_tree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_jaccard_join, op3_substring_dedup, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
         op8_benchmark_decontamination, op9_language_id, op10_lm_scoring, op11_bestfit_packing,
+        op12_ranked_lexical_search,
     )
 }
 
@@ -165,4 +172,40 @@ ORACLES: dict[str, str] = {
         FROM worded d LEFT JOIN hit ON hit.doc_id = d.id LEFT JOIN items ON items.doc_id = d.id
         WHERE d.kind = 'd'
     """,
+    "op12_ranked_lexical_search": r"""
+        WITH documents_terms AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), items AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(min(text), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id
+        ), asked AS (
+            SELECT item_id, term, count(*) AS repeats FROM items GROUP BY ALL
+        ), counts AS (
+            SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM documents_terms WHERE len(w) > 0
+        ), places AS (
+            SELECT row, doc_id, len(w)::BIGINT AS n, unnest(w) AS term
+            FROM (SELECT row_number() OVER () AS row, doc_id, w FROM documents_terms)
+        ), held AS (
+            SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+            FROM places WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weighed AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+            FROM (SELECT term, count(*) AS df FROM held GROUP BY term), counts
+        ), scores AS (
+            SELECT item_id, row, doc_id, sum(repeats * weight * ((1000000000 * tf) //
+                (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_terms)))))::BIGINT AS score
+            FROM held JOIN weighed USING (term) JOIN asked USING (term), counts
+            WHERE doc_id IS NOT NULL
+            GROUP BY item_id, row, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 10
+    """,
 }
