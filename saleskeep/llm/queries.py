@@ -20,6 +20,7 @@ from saleskeep.llm import (
     sharding,
     token_counts,
     topk,
+    whitening,
 )
 from saleskeep.llm.common import held_out, table
 from saleskeep.workspace import Workspace
@@ -107,12 +108,17 @@ def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dual_tree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four components of largest variance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_jaccard_join, op3_substring_dedup, op4_token_counts, op5_sentencepiece, op6_sharding, op7_topk_search,
         op8_benchmark_decontamination, op9_language_id, op10_lm_scoring, op11_bestfit_packing,
-        op12_ranked_lexical_search,
+        op12_ranked_lexical_search, op13_embedding_whitening,
     )
 }
 

@@ -1,0 +1,168 @@
+"""Whitening: exact sums, exact polynomials, roots and components against numpy and fractions."""
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from saleskeep.llm import whitening
+from saleskeep.llm.queries import QUERIES
+
+
+def scatter_of(x):
+    x = np.array(x).astype(object)
+    total = x.sum(axis=0)
+    return (x.T @ x) * len(x) - np.multiply.outer(total, total)
+
+
+def polynomial_of(scatter):
+    """Coefficients of det(x - scatter) by Faddeev and LeVerrier, exact."""
+    size = len(scatter)
+    one = np.array([[int(i == j) for j in range(size)] for i in range(size)], object)
+    found, m = [1], one * 0
+    for k in range(1, size + 1):
+        m = scatter @ m + one * found[-1]
+        found.append(-int(np.trace(scatter @ m)) // k)
+    return found[::-1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.integers(-300, 300), st.integers(-(2**63), 2**63 - 1)), min_size=3, max_size=3), min_size=1, max_size=6))
+def test_products_are_exact(rows):
+    x = np.array(rows, np.int64)
+    assert (whitening.products(x) == x.astype(object).T @ x.astype(object)).all()
+
+
+def test_products_of_many_rows():
+    x = np.random.default_rng(0).integers(-(2**40), 2**40, (20_000, 3))
+    assert (whitening.products(x) == x.astype(object).T @ x.astype(object)).all()
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 6), st.integers(1, 9), st.integers(0, 2**31))
+def test_polynomials(width, rows, seed):
+    rng = np.random.default_rng(seed)
+    scatter = scatter_of(rng.integers(-3, 4, (rows, width)) * (rng.random((rows, width)) < 0.6))
+    chosen = whitening.primes(2 * whitening.coefficient_bound(scatter))
+    residues = [(p, whitening.polynomial_modulo((scatter % p).astype(np.int64), p)) for p in chosen]
+    assert whitening.join_residues(residues) == polynomial_of(scatter)
+
+
+def test_polynomial_on_the_cluster(spark):
+    scatter = scatter_of(np.random.default_rng(5).integers(-200, 200, (300, 12)))
+    assert whitening.characteristic_polynomial(spark, scatter) == polynomial_of(scatter)
+
+
+def test_primes():
+    assert [n for n in range(60) if whitening.is_prime(n)] == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59]
+    assert whitening.is_prime(2**31 - 1) and not whitening.is_prime(2**31 - 3) and not whitening.is_prime(3215031749 // 7 * 7)
+    chosen = whitening.primes(2**100)
+    assert len(set(chosen)) == 4 and math.prod(chosen) > 2**100
+
+
+@pytest.mark.parametrize("roots", [[5, 3, 2, 1, 0], [7, 7, 7, 2, 2], [10**20, 10**20 - 1, 4, 0, 0], [1], [0, 0], [2, 2, 1, 1, 1, 0]])
+def test_roots(roots):
+    polynomial = [1]
+    for root in roots:
+        polynomial = [a - root * b for a, b in zip([0, *polynomial], [*polynomial, 0])]
+    found = whitening.largest_roots(polynomial, 4)
+    flat = [r for r, many in found for _ in range(many)]
+    positive = [r for r in sorted(roots, reverse=True) if r]
+    assert len(flat) >= min(4, len(positive))
+    assert all(abs(a - b) * 2**150 <= b for a, b in zip(flat, positive))
+    assert whitening.roots_above(polynomial, Fraction(3, 2)) == sum(r > 1.5 for r in roots)
+
+
+def brute(rows):
+    """What the contract asks for, by numpy's eigenvectors and whole numbers."""
+    usable = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = max(len(v) for _, v in usable)
+    usable = [(i, v + (0,) * (width - len(v))) for i, v in usable]
+    fit = sorted({v for _, v in usable})
+    n, total = len(fit), [sum(c) for c in zip(*fit)]
+    scatter = scatter_of(fit)
+    values, vectors = np.linalg.eigh(scatter.astype(float))
+    return usable, n, total, float(np.trace(scatter)), values[::-1], vectors[:, ::-1]
+
+
+def check(found, rows, count=4, tolerance=1e-9):
+    usable, n, total, trace, values, vectors = brute(rows)
+    by = {}
+    for r in found:
+        by.setdefault((r["vec_id"], r["deviation"]), {}).setdefault(r["component"], []).append(r)
+    signs = {}
+    assert len(found) == len(usable) * count
+    for i, v in usable:
+        centred = [n * a - b for a, b in zip(v, total)]
+        deviation = sum(c * c for c in centred)
+        group = by[i, deviation]
+        assert sorted(group) == list(range(1, count + 1))
+        for k in group:
+            for r in group[k]:
+                expected = float(np.array(centred, float) @ vectors[:, k - 1]) / math.sqrt(values[k - 1])
+                if abs(expected) > 1e-6:
+                    sign = signs.setdefault(k, math.copysign(1, expected * r["whitened"]))
+                    assert r["whitened"] == pytest.approx(sign * expected, rel=1e-6, abs=tolerance)
+                assert r["explained"] == pytest.approx(values[k - 1] / trace, rel=1e-9)
+                assert r["n"] == n and r["identity_error"] < 1e-9
+
+
+def test_whiten(spark, workspace):
+    rng = np.random.default_rng(2)
+    rows = [(n, [float(x) for x in rng.normal(size=9) * np.arange(1, 10)]) for n in range(200)]
+    rows += [(300 + n, rows[0][1]) for n in range(50)] + [(3, rows[7][1]), (None, rows[5][1]), (None, [1.5] * 9), (400, rows[3][1][:4])]
+    bad = [(500, None), (501, [None] * 9), (502, [float("nan")] * 9), (503, [float("inf")] * 9), (504, [-0.0] * 9)]
+    frame = spark.createDataFrame([(*r, 7) for r in rows + bad], "vec_id long, embedding array<double>, component int").repartition(6)
+    result = whitening.whiten(frame, workspace)
+    assert result.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check(result.collect(), rows + bad)
+
+
+def test_few_directions(spark, workspace):
+    rows = [(1, [0.5, 0.5, 0.0]), (2, [1.0, 1.0, 0.0]), (3, [1.0, 1.0, 0.0]), (4, [0.25, 0.5, 0.0])]
+    schema = "vec_id long, embedding array<float>"
+    found = whitening.whiten(spark.createDataFrame(rows, schema), workspace).collect()
+    assert {r["component"] for r in found} == {1, 2}
+    check(found, rows, 2)
+    for few in ([], rows[:1], rows[1:3], [(1, None)], [(1, [])]):
+        assert whitening.whiten(spark.createDataFrame(few, schema), workspace).collect() == []
+
+
+def test_equal_variances(spark, workspace):
+    """Four directions with one variance: any basis of their space will do, and it whitens."""
+    rows = [(n * 2 + s, [float((1 - 2 * s) * (m == n)) for m in range(5)]) for n in range(4) for s in range(2)]
+    found = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), workspace).collect()
+    made = np.array([[r["whitened"] for r in sorted(found, key=lambda r: r["component"]) if r["vec_id"] == i] for i, _ in rows])
+    assert np.allclose(made.T @ made / 8, np.eye(4), atol=1e-12)
+    assert all(r["explained"] == pytest.approx(0.25) and r["identity_error"] < 1e-12 for r in found)
+
+
+def test_close_variances():
+    """Two variances that differ by a part in 10^14 still get their own directions."""
+    scatter = np.array([[10**14, 1, 0], [1, 10**14, 0], [0, 0, 7]], object)
+    roots = whitening.largest_roots(polynomial_of(scatter), 3)
+    assert [many for _, many in roots] == [1, 1, 1]
+    first, second = (whitening.null_space(scatter, root, 1)[0] for root, _ in roots[:2])
+    half = math.sqrt(0.5)
+    assert np.allclose(np.abs(first), [half, half, 0], atol=1e-15) and np.allclose(np.abs(second), [half, half, 0], atol=1e-15)
+    assert abs(first @ second) < 1e-15
+
+
+def test_large_entries(spark, workspace):
+    rows = [(1, [1e12, 3.0]), (2, [-1e12, 1.0]), (3, [2e12, 9.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        whitening.whiten(frame, workspace).collect()
+    vectors, width = whitening.whole_vectors(frame, "embedding", 256, [])
+    n, total, products = whitening.sums(vectors, width)
+    x = np.array([[math.floor(256 * v) for v in r] for _, r in rows]).astype(object)
+    assert n == 3 and list(total) == list(x.sum(axis=0)) and (products == x.T @ x).all()
+
+
+def test_query(spark):
+    found = QUERIES["op13_embedding_whitening"](spark, "/root/testdata/sf0.001").collect()
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
+    check(found, rows)
