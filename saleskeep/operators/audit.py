@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import ROUND_HALF_EVEN, Context, Decimal
+from decimal import MAX_EMAX, MIN_EMIN, ROUND_HALF_EVEN, Context, Decimal
+from hashlib import sha256
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -156,57 +157,105 @@ def with_row_hash(rows: DataFrame, columns: Sequence[str], *kept: Column) -> Dat
     return hashed.withColumns(halves).drop("_hash")
 
 
-def combined_hash() -> Column:
-    """Aggregate of the row hashes; pieces of 20 bits add up without overflow to 2^43 rows."""
-    pieces = [
-        F.sum(F.shiftright(half, bits).bitwiseAND(F.lit((1 << 20) - 1))).cast("string")
+def _hash_pieces() -> list[Column]:
+    return [
+        F.sum(F.shiftright(half, bits).bitwiseAND(F.lit((1 << 20) - 1)))
         for half in ("_hash_1", "_hash_16")
         for bits in (0, 20, 40)
     ]
-    parts = (F.coalesce(piece, F.lit("0")) for piece in pieces)
+
+
+def combined_hash() -> Column:
+    """Aggregate of the row hashes; pieces of 20 bits add up without overflow to 2^43 rows."""
+    parts = (F.coalesce(piece.cast("string"), F.lit("0")) for piece in _hash_pieces())
     return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *parts), 256)
 
 
-def _parts(text: Column) -> tuple[Column, Column]:
-    """A number's digits as a whole number, and the power of ten it is multiplied by; the digits
-    are NULL for what is no number, or one of more than 19 digits between its outer zeros."""
-    before, after = F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3)
-    exponent = F.regexp_extract(text, NUMBER, 4)
-    digits = F.ltrim(F.concat(before, after), F.lit("0"))
-    short = F.rtrim(digits, F.lit("0"))
-    sign = F.when(F.regexp_extract(text, NUMBER, 1) == "-", "-").otherwise("")
-    whole = F.when(short == "", "0").when(F.length(short) <= 19, F.concat(sign, short))
-    power = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("bigint"))
-    power = power + F.length(digits) - F.length(short) - F.length(after)
-    return F.when(text.rlike(NUMBER), whole).cast("decimal(19,0)"), F.when(short == "", F.lit(0)).otherwise(power)
-
-
-def exact_amount(landed: DataFrame) -> Decimal:
-    """The sum of quantity times price over all rows in which both are numbers, without rounding.
-
-    Products are added up per power of ten, in two halves that do not overflow, and the few sums
-    are put together on the driver. Numbers of more than 19 digits, or with a power of ten beyond
-    1,000, are an error."""
-    texts = [F.col(name) for name in ("cantidad", "precio_unitario")]
-    (one, power), (other, power_2) = map(_parts, texts)
-    read = landed.filter(texts[0].rlike(NUMBER) & texts[1].rlike(NUMBER)).select(
-        (one * other).cast("decimal(38,0)").alias("product"), (power + power_2).alias("power")
+# Digits of a limb, and the powers of ten that decimal arithmetic reaches.
+LIMB, REACH = 9, 1_000_000
+
+
+def _with_limbs(rows: DataFrame, name: str) -> DataFrame:
+    """`rows` with a number as limbs of LIMB digits, lowest first, and the place of the lowest one:
+    limb i counts 10^(LIMB * (place + i)). NULL for what is no number, or out of reach.
+
+    Each step is a column of its own, so that none is computed twice."""
+    of = f"_{name}_{{}}".format
+    text = F.replace(name, F.lit("_"), F.lit(""))
+    digits, short, power = (F.col(of(x)) for x in ("digits", "short", "power"))
+    parts = {of(part): F.regexp_extract(of("text"), NUMBER, n) for n, part in enumerate(("sign", "before", "after", "exponent"), 1)}
+    rows = rows.withColumn(of("text"), F.when(text.rlike(NUMBER), text)).withColumns(parts)
+    rows = rows.withColumn(of("digits"), F.ltrim(F.concat(of("before"), of("after")), F.lit("0")))
+    rows = rows.withColumns({
+        of("short"): F.rtrim(digits, F.lit("0")),
+        of("raised"): F.when(F.col(of("exponent")) == "", F.lit(0).cast("bigint")).otherwise(F.col(of("exponent")).try_cast("bigint")),
+    })
+    fits = (short == "") | F.coalesce(F.col(of("raised")).between(-REACH, REACH), F.lit(False))
+    moved = F.col(of("raised")) + F.length(digits) - F.length(short) - F.length(of("after"))
+    rows = rows.withColumn(of("power"), F.when(short == "", F.lit(0)).when(fits, moved))
+    rows = rows.withColumn(of("place"), F.floor(power / LIMB))
+    shifted = F.concat(short, F.repeat(F.lit("0"), (power - F.col(of("place")) * LIMB).cast("int")))
+    rows = rows.withColumn(of("shifted"), shifted)
+    count = F.greatest(F.lit(1), F.ceil(F.length(of("shifted")) / LIMB)).cast("int")
+    rows = rows.withColumn(of("count"), count)
+    rows = rows.withColumn(of("padded"), F.lpad(F.col(of("shifted")), F.col(of("count")) * LIMB, F.lit("0")))
+    start = lambda n: (F.col(of("count")) - n) * LIMB + 1
+    limbs = F.transform(
+        F.sequence(F.lit(1), F.col(of("count"))),
+        lambda n: F.substr(F.col(of("padded")), start(n), F.lit(LIMB)).cast("bigint") * F.when(F.col(of("sign")) == "-", -1).otherwise(1),
     )
-    fits = F.col("product").isNotNull() & F.coalesce(
-        (F.col("product") == 0) | F.col("power").between(-1_000, 1_000), F.lit(False)
-    )
-    step = F.lit(Decimal(10**19))
-    low = (F.col("product") % step).cast("decimal(19,0)")
-    high = ((F.col("product") - low) / step).cast("decimal(19,0)")
-    sums = read.groupBy(F.when(fits & (F.col("product") != 0), F.col("power")).alias("power")).agg(
-        F.sum(F.when(fits, low)).alias("low"), F.sum(F.when(fits, high)).alias("high"), F.count_if(~fits).alias("unfit")
+    return rows.withColumn(of("limbs"), F.when(F.col(of("power")).isNotNull(), limbs))
+
+
+def _products(landed: DataFrame) -> DataFrame:
+    """The rows' hashes and `_amount`: quantity times price as (place, value) of its limbs, NULL
+    where either is no number."""
+    names = ("cantidad", "precio_unitario")
+    rows = with_row_hash(landed, SOURCE_COLUMNS, *(F.col(n) for n in names))
+    for name in names:
+        rows = _with_limbs(rows, name)
+    place = F.col("_cantidad_place") + F.col("_precio_unitario_place")
+    pairs = F.flatten(F.transform(
+        "_cantidad_limbs",
+        lambda x, i: F.transform(
+            "_precio_unitario_limbs",
+            lambda y, j: F.struct((place + i + j).alias("place"), (x * y).alias("value")),
+        ),
+    ))
+    return rows.select("_hash_1", "_hash_16", pairs.alias("_amount"))
+
+
+def landed_figures(landed: DataFrame) -> tuple[int, Decimal, str]:
+    """Rows, the exact sum of quantity times price, and the digest of a landed batch, in one pass.
+
+    Numbers may have any number of digits; underscores between them don't count. What is no
+    number, or has an exponent beyond a million, adds nothing. Products of limbs are added up per
+    place, so there is a row per place here, and these are put together.
+    """
+    first = F.coalesce(F.col("_at"), F.lit(0)) == 0
+    parts = _products(landed).select("_hash_1", "_hash_16", F.posexplode_outer("_amount").alias("_at", "_limb"))
+    counted = F.when(first, F.col("_hash_1")), F.when(first, F.col("_hash_16"))
+    found = parts.select(
+        F.col("_limb.place").alias("place"), F.col("_limb.value").alias("value"), first.alias("first"),
+        counted[0].alias("_hash_1"), counted[1].alias("_hash_16"),
+    ).groupBy("place").agg(
+        F.sum(F.col("value").cast("decimal(20,0)")).alias("value"), F.count_if("first").alias("rows"),
+        *(piece.alias(f"piece_{n}") for n, piece in enumerate(_hash_pieces())),
     ).collect()
-    if unfit := sum(r.unfit for r in sums):
-        raise ValueError(f"{unfit} rows have an amount too long to add up")
-    whole = sum(
-        (int(r.high) * 10**19 + int(r.low)) * 10 ** (2_000 + r.power) for r in sums if r.power is not None
-    )
-    return Decimal(whole).scaleb(-2_000, Context(prec=9_999, Emax=99_999, Emin=-99_999))
+    count = sum(r.rows for r in found)
+    pieces = (str(sum(r[f"piece_{n}"] or 0 for r in found)) for n in range(6))
+    digest = sha256(":".join([str(count), *pieces]).encode()).hexdigest()
+    return count, _total({r.place: int(r.value) for r in found if r.place is not None}), digest
+
+
+def _total(sums: dict[int, int]) -> Decimal:
+    """The sum of all limbs, exact."""
+    digits = (max(sums, default=0) - min(sums, default=0) + 8) * LIMB
+    wide = Context(prec=max(digits, 64), rounding=ROUND_HALF_EVEN, Emax=MAX_EMAX, Emin=MIN_EMIN)
+    total = Decimal(0)
+    for place in sorted(sums, reverse=True):
+        total = wide.add(total, wide.scaleb(Decimal(sums[place]), place * LIMB))
+    return total
 
 
 def manifest(
@@ -222,13 +271,11 @@ def manifest(
 
     The extraction time is the one the batch id names, or ``extracted_at``.
     """
-    exact = Context(prec=9_999, rounding=ROUND_HALF_EVEN)
-    amount = f"{exact_amount(landed).quantize(Decimal('0.01'), context=exact):f}"
-    facts = with_row_hash(landed, SOURCE_COLUMNS).agg(
-        F.count("*").alias("record_count"), combined_hash().alias("sha256")
-    )
+    count, total, digest = landed_figures(landed)
+    digits = max(64, total.adjusted() + 64)
+    cents = Context(prec=digits, rounding=ROUND_HALF_EVEN, Emax=MAX_EMAX, Emin=MIN_EMIN).quantize(total, Decimal("0.01"))
     instant = F.coalesce(batch_instant(F.lit(batch_id)), extracted_at).cast("string")
-    return facts.select(
+    return landed.sparkSession.range(1).select(
         F.lit(batch_id).alias("batch_id"),
         F.lit(source_system).alias("source_system"),
         F.lit(schema_version).alias("schema_version"),
@@ -236,7 +283,7 @@ def manifest(
             "extracted_at_utc"
         ),
         F.lit(file_name).alias("file_name"),
-        "record_count",
-        F.lit(amount).alias("total_amount"),
-        "sha256",
+        F.lit(count).cast("bigint").alias("record_count"),
+        F.lit(f"{cents:f}").alias("total_amount"),
+        F.lit(digest).alias("sha256"),
     )

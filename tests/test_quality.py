@@ -113,7 +113,7 @@ def test_repeated_ids(spark, workspace, catalogs, exact_catalogs):
     got = codes_by_row(evaluate(prepare(rows, catalogs, workspace)))
     assert [got[key] for key in range(1, 14)] == [
         "DQ-002,", "DQ-002,", "DQ-002,", "DQ-001,DQ-002,", "DQ-001,DQ-002,", "", "",
-        "DQ-001,DQ-002,", "DQ-001,DQ-002,", "DQ-001,DQ-002,", "DQ-001,DQ-002,", "", "",
+        "DQ-001,DQ-002,", "DQ-001,DQ-002,", "DQ-001,DQ-002,", "DQ-001,DQ-002,", "DQ-001,", "",
     ]
     today = instant(CLOCK).cast("date")
     found = issue_codes(issues.quality_issues(rows, exact_catalogs, today, workspace))

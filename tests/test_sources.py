@@ -147,9 +147,22 @@ def test_manifest_adds_amounts_of_any_size(spark):
         want = sum(Decimal(q) * Decimal(p) for q, p in pairs[:8])
         assert manifest(rows, "T", F.lit(None)).first().total_amount == f"{want:.2f}"
     assert manifest(rows.limit(0), "T", F.lit(None)).first().total_amount == "0.00"
-    long = text_rows(spark, [("1", "", "", "", "", "1" * 20, "1")])
-    with pytest.raises(ValueError, match="1 rows"):
-        manifest(long, "T", F.lit(None))
+
+
+def test_manifest_adds_numbers_of_any_length(spark):
+    pairs = [("1" * 40, "9" * 60 + ".25"), ("-" + "7" * 25, "0." + "0" * 30 + "3"), ("1e1001", "2"), ("-1e1001", "2"), ("5E-1200", "1"),
+             ("1_000", "1.5_0"), ("1e400", "1e-399"), ("0e9999999", "7"), ("+.5", "00012."), ("123456789" * 9, "987654321" * 9)]
+    skipped = [("1e1000001", "1"), ("1e" + "9" * 30, "1"), ("1e-" + "9" * 30, "1"), ("NaN", "1"), ("1e", "2"), ("Infinity", "2"), ("--1", "2")]
+    rows = text_rows(spark, [("1", "", "", "", "", q, p) for q, p in pairs + skipped]).repartition(4)
+    found = manifest(rows, "T", F.lit(None)).first()
+    with localcontext(prec=5_000):
+        assert found.total_amount == f"{sum(Decimal(q) * Decimal(p) for q, p in pairs):.2f}"
+    assert found.record_count == len(pairs + skipped)
+    assert found.sha256 == content_digest(rows).first().sha256
+    ties = text_rows(spark, [("1", "", "", "", "", "1", p) for p in ("0.125", "0.01", "1e-9", "-1e-9")])
+    assert manifest(ties, "T", F.lit(None)).first().total_amount == "0.14"
+    half = text_rows(spark, [("1", "", "", "", "", "1", "0.125")])
+    assert manifest(half, "T", F.lit(None)).first().total_amount == "0.12"
 
 
 def test_synthetic_sales_are_repeatable_and_in_range(spark):
