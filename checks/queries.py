@@ -18,7 +18,7 @@ from saleskeep.operators.mart import Mart
 from saleskeep.operators.security import permitted_regions, visible_sales
 from saleskeep.plans import store as stores
 from saleskeep.plans.batch import initialize, run_daily_batch
-from saleskeep.plans.views import VIEWS
+from saleskeep.plans.views import view
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
 from saleskeep.workspace import Workspace
@@ -94,6 +94,7 @@ def stage_raw(w: Warehouse) -> DataFrame:
 def replace_batch(w: Warehouse) -> DataFrame:
     """Write two batches, replace one by other rows and the other by none, in a new store."""
     store = stores.Store(w.spark, w.workspace.path("replace"))
+    store.start()
     first = w.staged(FIRST_BATCH)
     store.replace_batch("stg_ventas_raw", first, FIRST_BATCH)
     store.replace_batch("stg_ventas_raw", w.staged(), "OTHER")
@@ -317,7 +318,7 @@ def ops_quality(w: Warehouse) -> DataFrame:
 
 
 def view(name: str) -> Query:
-    return on_warehouse(lambda w: VIEWS[name](w.done).drop(*LAYOUT_KEYS))
+    return on_warehouse(lambda w: view(w.done, name).drop(*LAYOUT_KEYS))
 
 
 def vw_user_region(w: Warehouse) -> DataFrame:

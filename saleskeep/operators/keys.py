@@ -42,6 +42,49 @@ def numbered(
     )
 
 
+#: Values of a whole-number order that one task numbers.
+SPAN = 1_000_000
+
+
+def numbered_in_order(
+    df: DataFrame, order: str, name: str, start: int = 0, span: int = SPAN
+) -> DataFrame:
+    """Number the rows start+1, start+2, ... without gaps, in the order of a whole number that
+    differs on every row.
+
+    The numbers are cut into spans; each is numbered on its own and shifted by the rows of the
+    spans before it, so no task sees more than ``span`` rows, and the shifts have a row per span.
+    ``df`` is read twice and has to be a written table.
+    """
+    ranged = df.withColumn("_span", F.floor(F.col(order) / span))
+    shifts = _shifts(ranged.groupBy("_span").agg(F.count("*").alias("_size")), "_span")
+    within = F.row_number().over(Window.partitionBy("_span").orderBy(order))
+    return (
+        ranged.withColumn("_within", within)
+        .join(F.broadcast(shifts), "_span")
+        .withColumn(name, F.lit(start) + F.col("_shift") + F.col("_within"))
+        .drop("_span", "_within", "_shift")
+    )
+
+
+def numbered_by_place(df: DataFrame, file: str, block: str, place: str, name: str) -> DataFrame:
+    """Number the rows 1, 2, ... by file, block and place, where the places in a block follow each
+    other. Nothing is shuffled: the shifts have a row per block. ``df`` is a written table."""
+    blocks = df.groupBy(file, block).agg(F.count("*").alias("_size"), F.min(place).alias("_first"))
+    shifts = _shifts(blocks, file, block)
+    return (
+        df.join(F.broadcast(shifts), [file, block])
+        .withColumn(name, F.col("_shift") + F.col(place) - F.col("_first") + 1)
+        .drop(file, block, place, "_first", "_shift")
+    )
+
+
+def _shifts(sizes: DataFrame, *order: str) -> DataFrame:
+    """The rows before each group: one window over a row per group."""
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("_shift", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+
+
 def ranked_desc(
     df: DataFrame, value: str, name: str, spread: list[str], buckets: int = 1
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleskeep.contract import FACT_SCHEMA
 from saleskeep.functions.clock import date_key, month_name
-from saleskeep.operators.keys import numbered
+from saleskeep.operators.keys import numbered, numbered_in_order
 from saleskeep.operators.lookup import Lookup, lookup_join
 
 
@@ -113,25 +113,25 @@ def fact_rows(
     published: DataFrame | None,
     keys: DimensionKeys,
     loaded_at: Column,
-    start: int = 0,
 ) -> DataFrame:
-    """Fact rows of the valid rows that are not published yet.
-
-    The surrogate key is the row key shifted past the keys in use: unique and repeatable, with
-    gaps where rows were rejected, and without a shuffle.
-    """
+    """Fact rows of the valid rows that are not published yet, with their row key for a key."""
     keyed = valid.withColumn("_producto", F.lower("producto")).withColumn(
         "_region", F.lower("region")
     )
     rows = keyed if published is None else unpublished(keyed, published)
     for lookup in (keys.dates, keys.products, keys.regions):
         rows = lookup_join(rows, lookup, ["raw_row_key"], "inner", counted=keyed)
-    rows = rows.withColumn("venta_key", F.lit(start) + F.col("raw_row_key")).withColumn(
-        "fecha_carga", loaded_at
-    )
+    rows = rows.withColumn("venta_key", F.col("raw_row_key")).withColumn("fecha_carga", loaded_at)
     return rows.select(*FACT_SCHEMA.names)
 
 
+def keyed_facts(facts: DataFrame, start: int) -> DataFrame:
+    """Fact rows of a written table with surrogate keys start+1, start+2, ... without gaps, in the
+    order of the row keys."""
+    keyed = numbered_in_order(facts.withColumnRenamed("venta_key", "_row"), "_row", "venta_key", start)
+    return keyed.select(*FACT_SCHEMA.names)
+
+
 def id_aliases(evaluated: DataFrame) -> DataFrame:
     """Valid ids written in more than one way (7 and 07), which a unique key must refuse.
 

@@ -1,7 +1,7 @@
 """The daily batch: land, stage, evaluate, publish, audit, quarantine, reconcile.
 
-The tables of a batch are written one after the other and its control row last. A batch
-without a control row is unfinished; running it again replaces everything it wrote.
+What is staged, judged, rejected and published, the members that the dimensions gain and the
+control row show together, or not at all. Running a batch again replaces everything it wrote.
 """
 
 from __future__ import annotations
@@ -25,21 +25,23 @@ from saleskeep.operators.audit import (
     reconciliation,
     require_reconciled,
 )
-from saleskeep.operators.keys import next_key
+from saleskeep.operators.keys import next_key, numbered_by_place
 from saleskeep.operators.quality import evaluate, prepare, rejects, valid_rows
 from saleskeep.operators.warehouse import (
     DimensionKeys,
     fact_rows,
     id_aliases,
+    keyed_facts,
     keyed_products,
     keyed_regions,
     new_dates,
     new_products,
     new_regions,
 )
-from saleskeep.plans.store import Store
+from saleskeep.plans.store import Store, Transaction
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.sources.landing import land_manifest, land_raw, quarantine_json, read_landed
+from saleskeep.sources.sales import POSITION
 from saleskeep.workspace import Workspace
 
 # Groups that number new members, whatever their number: it decides the keys.
@@ -83,35 +85,47 @@ def extract_raw(store: Store, sales: DataFrame, batch_id: str, now: datetime) ->
 def _log_artifacts(store: Store, batch_id: str, *entries: tuple) -> None:
     """Record artifacts of a batch next to its others; a batch has three at most."""
     renewed = [entry[1] for entry in entries]
-    kept = store.read("artefactos", batch_id).filter(~F.col("artifact").isin(renewed)).collect()
-    rows = small_frame(store.spark, [*kept, *entries], ARTIFACT_SCHEMA)
-    store.replace_batch("artefactos", rows, batch_id)
+    with store.begin() as change:
+        kept = change.read("artefactos", batch_id).filter(~F.col("artifact").isin(renewed)).collect()
+        rows = small_frame(store.spark, [*kept, *entries], ARTIFACT_SCHEMA)
+        change.replace_batch("artefactos", rows, batch_id)
 
 
 def staged(landed: DataFrame, batch_id: str, ingested_at: datetime) -> DataFrame:
-    """Landed text with its batch, ingestion time and a row key that grows in reading order."""
+    """Landed rows, read back with their positions, with their batch, ingestion time and row key:
+    1, 2, ... in the order of files and of the rows in them, however they were split for reading."""
     return (
-        landed.withColumn("batch_id", F.lit(batch_id))
+        numbered_by_place(landed, *POSITION, "raw_row_key")
+        .withColumn("batch_id", F.lit(batch_id))
         .withColumn("ingestion_timestamp", instant(ingested_at))
-        .withColumn("raw_row_key", F.monotonically_increasing_id() + 1)
     )
 
 
-def stage_raw(store: Store, batch_id: str, raw_uri: str, ingested_at: datetime) -> None:
+def stage_raw(store: Store | Transaction, batch_id: str, raw_uri: str, ingested_at: datetime) -> None:
     """Stage a landed batch. The row keys are fixed by being written here."""
-    landed = read_landed(store.spark, store.base, raw_uri)
+    workspace = Workspace(store.spark)
+    landed = workspace.keep(read_landed(store.spark, store.base, raw_uri, positions=True), "landed")
     store.replace_batch("stg_ventas_raw", staged(landed, batch_id, ingested_at), batch_id)
+    workspace.drop()
 
 
 def process_batch(
     store: Store, batch_id: str, now: datetime, workspace: Workspace, strict: bool = True
+) -> None:
+    """Process a batch that is staged, all or nothing."""
+    with store.begin() as change:
+        process(change, batch_id, now, workspace, strict)
+
+
+def process(
+    change: Transaction, batch_id: str, now: datetime, workspace: Workspace, strict: bool = True
 ) -> None:
     """Judge a staged batch, grow the dimensions, publish the facts and write the control row."""
-    catalogs = Catalogs.active(store.read("productos"), store.read("regiones"))
-    prepared = prepare(store.read("stg_ventas_raw", batch_id), catalogs, workspace)
-    store.replace_batch("stg_ventas_evaluadas", evaluate(prepared, strict), batch_id)
+    catalogs = Catalogs.active(change.read("productos"), change.read("regiones"))
+    prepared = prepare(change.read("stg_ventas_raw", batch_id), catalogs, workspace)
+    change.replace_batch("stg_ventas_evaluadas", evaluate(prepared, strict), batch_id)
 
-    evaluated = store.read("stg_ventas_evaluadas", batch_id)
+    evaluated = change.read("stg_ventas_evaluadas", batch_id)
     summary = workspace.keep(batch_summary(evaluated), "batch_summary")
     figures = summary.first()
     if figures is None:
@@ -119,34 +133,34 @@ def process_batch(
     if figures.unusual_ids and not id_aliases(evaluated).isEmpty():
         raise BatchError(f"batch {batch_id} writes one sale id in several ways")
 
-    # From here on the batch counts as unfinished, until its control row is written.
-    if not store.read("etl_control", batch_id).isEmpty():
-        store.clear_batch("etl_control", batch_id)
-    store.replace_batch("dq_rechazos", rejects(evaluated, instant(now)), batch_id)
+    # What an earlier run of the batch published is about to be replaced, and is no duplicate.
+    change.clear_batch("fact_ventas", batch_id)
+    change.replace_batch("dq_rechazos", rejects(evaluated, instant(now)), batch_id)
     valid = valid_rows(evaluated)
-    grow_dimensions(store, valid, workspace)
+    grow_dimensions(change, valid, workspace)
     # Ids outside the batch's own range are no duplicates of it, whoever published them.
-    published = store.published(figures.lowest_id, figures.highest_id)
+    published = change.published(figures.lowest_id, figures.highest_id)
     keys = DimensionKeys.measured(
-        store.read("dim_fecha"), store.read("dim_producto"), store.read("dim_region")
+        change.read("dim_fecha"), change.read("dim_producto"), change.read("dim_region")
     )
     facts = fact_rows(
         valid,
         published,
         keys,
         instant(now),
-        next_key(store.read("etl_control"), "ultima_venta_key"),
     )
+    others = change.read("etl_control").filter(F.col("batch_id") != batch_id)
+    facts = keyed_facts(workspace.keep(facts, "facts"), next_key(others, "ultima_venta_key"))
     # Sorted inside each file, so that reports on a span of dates skip row groups.
-    store.replace_batch("fact_ventas", facts.sortWithinPartitions("fecha_key"), batch_id)
-    control = batch_control(summary, store.read("fact_ventas", batch_id), instant(now))
-    store.replace_batch("etl_control", control, batch_id)
+    change.replace_batch("fact_ventas", facts.sortWithinPartitions("fecha_key"), batch_id)
+    control = batch_control(summary, change.read("fact_ventas", batch_id), instant(now))
+    change.replace_batch("etl_control", control, batch_id)
 
 
-def grow_dimensions(store: Store, valid: DataFrame, workspace: Workspace) -> None:
+def grow_dimensions(change: Transaction, valid: DataFrame, workspace: Workspace) -> None:
     """Append the members that valid rows bring and the dimensions lack."""
-    dim_date, dim_product = store.read("dim_fecha"), store.read("dim_producto")
-    dim_region = store.read("dim_region")
+    dim_date, dim_product = change.read("dim_fecha"), change.read("dim_producto")
+    dim_region = change.read("dim_region")
     products = keyed_products(
         new_products(valid, dim_product),
         next_key(dim_product, "producto_key"),
@@ -164,7 +178,7 @@ def grow_dimensions(store: Store, valid: DataFrame, workspace: Workspace) -> Non
     ):
         found = workspace.keep(members, table)
         if not found.isEmpty():
-            store.append(table, found)
+            change.append(table, found)
 
 
 def export_quarantine(store: Store, batch_id: str, date_prefix: str) -> str:
@@ -212,10 +226,11 @@ def run_daily_batch(
     chosen = checked_batch_id(batch_id, clock())
     rows = only_new(store, sales) if incremental else sales
     raw = extract_raw(store, rows, chosen, clock())
-    stage_raw(store, chosen, raw["raw_uri"], clock())
     workspace = Workspace(store.spark)
     try:
-        process_batch(store, chosen, clock(), workspace, strict)
+        with store.begin() as change:
+            stage_raw(change, chosen, raw["raw_uri"], clock())
+            process(change, chosen, clock(), workspace, strict)
     finally:
         workspace.drop()
     quarantine_uri = export_quarantine(store, chosen, raw["date_prefix"])
@@ -228,6 +243,8 @@ def initialize(
 ) -> Store:
     """A warehouse under a base folder, with its catalogs loaded."""
     store = Store(spark, base)
-    store.replace("productos", products)
-    store.replace("regiones", regions)
+    store.start()
+    with store.begin() as change:
+        change.replace("productos", products)
+        change.replace("regiones", regions)
     return store

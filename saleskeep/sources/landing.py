@@ -58,13 +58,15 @@ def land_raw(spark: SparkSession, sales: DataFrame, path: str) -> None:
     )
 
 
-def read_landed(spark: SparkSession, base: str, uri: str) -> DataFrame:
+def read_landed(
+    spark: SparkSession, base: str, uri: str, positions: bool = False
+) -> DataFrame:
     """Read a landed folder back, refusing folders outside the configured base."""
     root = base.rstrip("/") + "/"
     inner = uri.removeprefix(root)
     if not uri.startswith(root) or not inner.strip("/") or ".." in inner.split("/"):
         raise ValueError(f"{uri} does not belong to {base}")
-    return read_csv(spark, uri)
+    return read_csv(spark, uri, positions=positions)
 
 
 def quarantine_json(spark: SparkSession, rejected: DataFrame, path: str) -> None:

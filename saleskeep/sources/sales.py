@@ -84,8 +84,15 @@ def write_csv(sales: DataFrame, path: str, mode: str = "errorifexists") -> None:
     )
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Read sales CSV as text: blank fields as empty text, header lines dropped.
+#: Where a row was read: its file, the block of it, and a number that grows within the block.
+POSITION = ("_file", "_block", "_place")
+
+
+def read_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, positions: bool = False
+) -> DataFrame:
+    """Read sales CSV as text: blank fields as empty text, header lines dropped. `positions` adds
+    the columns POSITION.
 
     A row with too few or too many fields fails the read. ``multi_line`` allows line breaks
     inside quoted fields and reads each file in one task; turn it off to split files that
@@ -99,6 +106,12 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
         .option("multiLine", multi_line)
         .csv(path)
     )
+    if positions:
+        rows = rows.withColumns({
+            "_file": F.col("_metadata.file_path"),
+            "_block": F.col("_metadata.file_block_start"),
+            "_place": F.monotonically_increasing_id(),
+        })
     filled = rows.fillna("", list(SOURCE_COLUMNS))
     return filled.filter(F.col("id_venta") != "id_venta")
 

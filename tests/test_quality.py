@@ -9,10 +9,8 @@ from saleskeep.operators import issues, quality
 from saleskeep.operators.contract_checks import field_findings
 from saleskeep.operators.lookup import Lookup
 from saleskeep.operators.quality import evaluate, prepare
-from saleskeep.plans.batch import staged
 from saleskeep.sources.catalog import Catalogs, seed_products, seed_regions
 from saleskeep.sources.sales import as_text
-from saleskeep.sources.synth import synthetic_sales, with_controlled_errors
 
 CLOCK = datetime(2026, 9, 1, 12, 0, tzinfo=UTC)
 BASE = {
@@ -176,7 +174,9 @@ def test_rejects_keep_the_text_as_it_came(spark, workspace, catalogs):
 
 def test_controlled_errors(spark, workspace, catalogs, exact_catalogs):
     sales = with_controlled_errors(synthetic_sales(spark, 10_000), 10_000)
-    rows = workspace.keep(staged(as_text(sales).fillna(""), "B", CLOCK), "staged")
+    text = as_text(sales).fillna("").withColumns({
+        "batch_id": F.lit("B"), "ingestion_timestamp": instant(CLOCK), "raw_row_key": F.monotonically_increasing_id() + 1})
+    rows = workspace.keep(text, "staged")
     evaluated = workspace.keep(evaluate(prepare(rows, catalogs, workspace)), "evaluated")
     assert quality.valid_rows(evaluated).count() == 9_980
     assert evaluated.filter("NOT es_valido").count() == 20

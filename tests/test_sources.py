@@ -3,12 +3,13 @@ from datetime import UTC, date, datetime
 from decimal import Decimal, localcontext
 
 import pytest
+import synthetic as synth
 from pyspark.sql import functions as F
 
 from saleskeep import contract
 from saleskeep.functions.clock import instant
 from saleskeep.operators.audit import content_digest, manifest
-from saleskeep.sources import catalog, landing, sales, synth
+from saleskeep.sources import catalog, landing, sales
 
 
 def text_rows(spark, rows):
