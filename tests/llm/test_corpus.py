@@ -108,11 +108,36 @@ def test_passages(spark, workspace):
     assert passages.find_passages(df.limit(0), workspace).count() == 0
 
 
-def test_repeated_and_missing_ids_take_no_part(spark, workspace):
-    text = " ".join(f"w{n}" for n in range(90))
-    df = spark.createDataFrame([(1, text), (1, "else"), (2, text), (None, text)], "doc_id long, text string")
-    assert passages.find_passages(df, workspace).count() == 0
-    assert sorted(r["text"] for r in passages.remove_passages(df, workspace).collect()) == sorted([text] * 3 + ["else"])
+def test_rows_that_share_an_id_come_last(spark, workspace):
+    text, other = (" ".join(f"{c}{n}" for n in range(90)) for c in "wv")
+    rows = [(1, text), (1, "else"), (2, text), (None, text), (None, other), (1, other), (3, None), (1, None), (4, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in passages.find_passages(df, workspace).collect()]
+    assert {r[0] for r in found if r[3] == 2} == {1, None} and {r[0] for r in found} <= {1, None}
+    assert len(found) == 3 and all(r[1:3] == (0, 90) and r[6] == 90 for r in found)
+    left = [(r["doc_id"], r["text"]) for r in passages.remove_passages(df, workspace).collect()]
+    assert len(left) == len(rows)
+    assert [t for _, t in left].count(text) == 1 and (2, text) in left and [t for _, t in left].count(other) == 1
+    assert (1, "else") in left and (3, None) in left and (1, None) in left
+
+
+def test_common_keys_refer_to_their_slice(spark, workspace, monkeypatch):
+    """The same passages, whether a slice sends all places of a common key or refers to the first."""
+    draw = np.random.default_rng(5)
+    line = [f"c{n}" for n in range(70)]
+    docs = [(n, " ".join([f"o{n}_{x}" for x in draw.integers(0, 9**9, 20)] + line + [f"p{n}_{x}" for x in draw.integers(0, 9**9, 20)])) for n in range(80)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = passages.find_passages(df, workspace).collect()
+    assert {r["doc_id"] for r in found} == set(range(1, 80)) and len(found) == 79
+    assert all((r["start_word"], r["end_word"]) == (20, 90) and r["source_id"] < r["doc_id"] for r in found)
+
+
+def test_chains_that_cover():
+    one = lambda source, *x: (source, np.array(x), np.array(x))
+    long, inside, beside, far = one(1, 0, 15, 30, 45), one(2, 10, 20), one(3, 60, 70), one(4, 500)
+    assert [c[0] for c in passages.cover([inside, far, long, beside])] == [1, 3, 4]
+    gap = one(5, 0, 10, 200, 210)
+    assert [c[0] for c in passages.cover([gap, one(6, 100, 120)])] == [5, 6]
 
 
 def test_verbatim_repeats_whose_parts_occur_elsewhere(spark, workspace):
