@@ -396,7 +396,13 @@ def keep_first(documents: DataFrame, workspace: Workspace) -> DataFrame:
     Of several rows with that id the one with the smallest text stays."""
     found = near_copies(documents, workspace)
     stays = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = documents.join(stays, "doc_id", "left_semi").groupBy("doc_id")
-    others = [c for c in documents.columns if c not in ("doc_id", "text")]
-    one = kept.agg(F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*").select(*documents.columns)
-    return one.unionByName(documents.filter("doc_id IS NULL"))
+    kept = documents.join(stays, "doc_id", "left_semi")
+    several = documents.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    several = workspace.keep(several, "several")
+    names = [F.col(f"`{c}`") for c in documents.columns]
+    if not several.isEmpty():
+        first = F.min_by(F.struct(*names), F.struct("text")).alias("row")
+        chosen = kept.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(first)
+        chosen = chosen.select(*(F.col(f"row.`{c}`").alias(c) for c in documents.columns))
+        kept = kept.join(several, "doc_id", "left_anti").select(*names).union(chosen)
+    return kept.select(*names).union(documents.filter("doc_id IS NULL"))

@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -94,6 +96,16 @@ def passage_rows():
     return [(i, " ".join(w)) for i, w in rows] + [(9, None), (10, ""), (11, "short text")]
 
 
+def test_first_copies_keep_columns_of_any_kind(spark, workspace):
+    text, other = (" ".join(f"{c}{n}" for n in range(30)) for c in "wv")
+    rows = [(1, text), (2, text), (3, other), (3, "b"), (3, "b"), (4, None), (4, "c d"), (None, text)]
+    df = spark.createDataFrame([(i, t, {"k": str(i)}, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, `a.b` map<string,string>, row int")
+    kept = jaccard_tree.keep_first(df, workspace)
+    assert kept.columns == df.columns
+    found = sorted(((r["doc_id"], r["text"], r["a.b"]["k"]) for r in kept.collect()), key=str)
+    assert found == sorted([(1, text, "1"), (3, "b", "3"), (4, None, "4"), (None, text, "None")], key=str)
+
+
 def test_passages(spark, workspace):
     df = spark.createDataFrame([(i, t, "s") for i, t in passage_rows()], "doc_id long, text string, spans string")
     found = {(r["doc_id"], r["source_id"]): tuple(r) for r in passages.find_passages(df, workspace).collect()}
@@ -132,6 +144,16 @@ def test_common_keys_refer_to_their_slice(spark, workspace, monkeypatch):
     assert all((r["start_word"], r["end_word"]) == (20, 90) and r["source_id"] < r["doc_id"] for r in found)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 12)), max_size=14))
+def test_fewest_spans(drawn):
+    spans = [(a, a + n) for a, n in drawn]
+    held = lambda some: {w for a, b in some for w in range(a, b)}
+    found = passages.fewest(spans)
+    assert held(found) == held(spans) and set(found) <= set(spans)
+    assert all(held(found[:n] + found[n + 1 :]) != held(spans) for n in range(len(found)))
+
+
 def test_chains_that_cover():
     one = lambda source, *x: (source, np.array(x), np.array(x))
     long, inside, beside, far = one(1, 0, 15, 30, 45), one(2, 10, 20), one(3, 60, 70), one(4, 500)
