@@ -18,7 +18,7 @@ from saleskeep.operators.mart import Mart
 from saleskeep.operators.security import permitted_regions, visible_sales
 from saleskeep.plans import store as stores
 from saleskeep.plans.batch import initialize, run_daily_batch
-from saleskeep.plans.views import view
+from saleskeep.plans.views import view as warehouse_view
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
 from saleskeep.workspace import Workspace
@@ -91,6 +91,13 @@ def stage_raw(w: Warehouse) -> DataFrame:
     return w.staged().drop(*LAYOUT_KEYS)
 
 
+def row_keys(w: Warehouse) -> DataFrame:
+    """Row keys of each staged batch: how many, the smallest and the largest."""
+    key = F.col("raw_row_key")
+    staged = w.done.read("stg_ventas_raw").groupBy("batch_id")
+    return staged.agg(F.countDistinct(key).alias("n_keys"), F.min(key).alias("lowest"), F.max(key).alias("highest"))
+
+
 def replace_batch(w: Warehouse) -> DataFrame:
     """Write two batches, replace one by other rows and the other by none, in a new store."""
     store = stores.Store(w.spark, w.workspace.path("replace"))
@@ -318,7 +325,7 @@ def ops_quality(w: Warehouse) -> DataFrame:
 
 
 def view(name: str) -> Query:
-    return on_warehouse(lambda w: view(w.done, name).drop(*LAYOUT_KEYS))
+    return on_warehouse(lambda w: warehouse_view(w.done, name).drop(*LAYOUT_KEYS))
 
 
 def vw_user_region(w: Warehouse) -> DataFrame:
@@ -359,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "batch_id_format": batch_id_format,
     "batch_instants": batch_instants,
     "valid_batch_ids": valid_batch_ids,
+    "row_keys": on_warehouse(row_keys),
     "batch_manifest": on_warehouse(batch_manifest),
     "content_digest": content_digest,
     "artifact_log": on_warehouse(artifact_log),
