@@ -1,7 +1,7 @@
 """Exact Jaccard join of shingle sets with signature trees.
 
-1. Texts with equal sets are one class, represented by its smallest id. The set's digest is the
-   class everywhere below, so copies are never compared.
+1. Texts with equal sets are one class, which gets a number (`key`) in a written table. Copies
+   are never compared, and rows of different texts that share an id are never mixed up.
 2. A set can only be linked if enough of its shingles (80 of 100) occur in other classes.
    Shingles go to buckets of a fixed size, packed: a shingle that two classes of one slice of
    the input hold is settled there and sent once. Each bucket counts the shingles that a class
@@ -9,14 +9,14 @@
 3. Of the sets left, linked pairs share one of their rarest shingles (the prefix that a pair
    below the threshold may miss, and one more). Sets that share such a shingle, directly or
    through others, are a block. A block too large for one task is cut into parts, and each pair
-   of parts is a unit of work of bounded size.
+   of parts is a unit of work of bounded size; a block of some size has a unit to itself.
 4. In a unit the sets form a signature tree. A node holds the union of the token bitmaps of its
    sets, the range of their sizes and the most tokens that fell on taken bits. Two trees are
    traversed together: a pair of nodes is left when its largest possible overlap, the common
-   bits and taken ones, cannot reach the threshold for its smallest sizes, or when all its sets
-   are known to be connected already. Pairs of leaves are compared set by set, first by their
-   bitmaps, then exactly.
-5. The links found make components.
+   bits and taken ones, cannot reach the threshold for its smallest sizes. Pairs of leaves are
+   compared by their bitmaps, then exactly, all pairs of sets of two leaves at a time.
+5. Every link is found. A unit returns how many documents each set is linked with and, instead
+   of all pairs, the links that connect what the links connect; these make components.
 
 Nothing is capped, and no step needs all sets, links or components in one place.
 """
@@ -36,23 +36,32 @@ from saleskeep.workspace import Workspace
 #: A pair is linked when PERCENT of its union, at least, is common.
 PERCENT = 80
 #: Shingles of a bucket, and of a unit of work, on average.
-BUCKET_TOKENS, UNIT_TOKENS = 4_000_000, 2_000_000
+BUCKET_TOKENS, UNIT_TOKENS = 4_000_000, 500_000
+#: Small blocks share a unit; a block above this part of a unit has one to itself.
+OWN_UNIT = 8
 LEAF, FAN = 32, 8
+#: Tokens that two leaves are compared on at a time.
+STRIP = 65_536
 BITS_PER_TOKEN, FEWEST_BITS, MOST_BITS = 4, 256, 8_192
 
 
+def _rows(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
 def _signatures(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (NULL for an empty set)."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, text_hash, n_shingles, digest (NULL for an empty set)."""
+    rows = _rows(documents)
 
     def make():
         def run(batch: pa.RecordBatch) -> list:
             sets = shingle_sets(raw_texts(batch.column("text")))
-            return [batch.column("doc_id"), [len(s) for s in sets], [digest(s) if len(s) else None for s in sets]]
+            digests = [digest(s) if len(s) else None for s in sets]
+            return [batch.column("doc_id"), batch.column("text_hash"), [len(s) for s in sets], digests]
 
         return run
 
-    return map_texts(rows, make, "doc_id long, n_shingles long, digest binary")
+    return map_texts(rows, make, "doc_id long, text_hash long, n_shingles long, digest binary")
 
 
 POSTINGS = columns("bucket int, owners binary, counts binary, tokens binary, settled binary")
@@ -118,7 +127,7 @@ def _unique_counts(table: pa.Table) -> pa.Table:
 
 
 def _candidates(documents: DataFrame, classes: DataFrame, workspace: Workspace) -> DataFrame:
-    """Classes with enough shingles in other classes: rep, n_shingles, digest."""
+    """The classes with enough shingles in other classes."""
     spark = documents.sparkSession
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(2 * spark.sparkContext.defaultParallelism, -(-total // BUCKET_TOKENS))
@@ -132,33 +141,35 @@ def _candidates(documents: DataFrame, classes: DataFrame, workspace: Workspace)
     kept = classes.join(own, "digest", "left").filter(
         (F.col("n_shingles") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n_shingles") * PERCENT
     )
-    return workspace.keep(kept.select("rep", "n_shingles", "digest"), "candidates")
+    return workspace.keep(kept.drop("own"), "candidates")
 
 
 def _sets(documents: DataFrame, candidates: DataFrame, workspace: Workspace) -> DataFrame:
-    """rep, tokens (packed, sorted) of the candidates, each once."""
-    wanted = candidates.select(F.col("rep").alias("doc_id"), F.col("digest").alias("wanted"))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("shuffle_hash"), "doc_id")
+    """key, weight (rows of the class), n, tokens (packed, sorted) of the candidates, each once."""
+    wanted = candidates.select(
+        F.col("first.*"), "key", F.col("class_size").alias("weight"), F.col("digest").alias("wanted")
+    )
+    rows = _rows(documents).join(wanted.hint("shuffle_hash"), ["doc_id", "text_hash"])
 
     def make():
         def run(batch: pa.RecordBatch) -> list:
             sets = shingle_sets(raw_texts(batch.column("text")))
             same = [digest(s) == w for s, w in zip(sets, batch.column("wanted").to_pylist())]
             return [
-                [r for r, k in zip(batch.column("doc_id").to_pylist(), same) if k],
+                batch.column("key").filter(pa.array(same)), batch.column("weight").filter(pa.array(same)),
                 [len(s) for s, k in zip(sets, same) if k],
                 [s.tobytes() for s, k in zip(sets, same) if k],
             ]
 
         return run
 
-    found = map_texts(rows, make, "rep long, n long, tokens binary")
-    # An id may stand on several rows; those with this text are one class.
-    return workspace.keep(found.dropDuplicates(["rep"]), "sets")
+    found = map_texts(rows, make, "key long, weight long, n long, tokens binary")
+    # The same id and text may stand on several rows.
+    return workspace.keep(found.dropDuplicates(["key"]), "sets")
 
 
 def _frequencies(table: pa.Table) -> pa.Table:
-    """(rep, tokens, df): the tokens of each set in a bucket with the number of sets that hold
+    """(key, tokens, df): the tokens of each set in a bucket with the number of sets that hold
     them, without those that one set holds alone."""
     owners, counts, tokens = (table.column(c).to_pylist() for c in ("owners", "counts", "tokens"))
     ids, number = np.frombuffer(b"".join(owners), np.int64), np.frombuffer(b"".join(counts), np.uint32)
@@ -171,19 +182,19 @@ def _frequencies(table: pa.Table) -> pa.Table:
     some, start = np.unique(owner, return_index=True)
     ends = np.concatenate([start[1:], [len(owner)]])
     return pa.table({
-        "rep": pa.array(ids[some]),
+        "key": pa.array(ids[some]),
         "shared": pa.array([token[a:b].tobytes() for a, b in zip(start, ends)], pa.binary()),
         "df": pa.array([df[a:b].tobytes() for a, b in zip(start, ends)], pa.binary()),
     })
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(rep, token): the rarest shingles of each set that other sets share, as many as a linked
+    """(key, token): the rarest shingles of each set that other sets share, as many as a linked
     set may lack and one more, counting first those it has alone."""
     total = sets.agg(F.sum("n")).first()[0] or 0
     buckets = max(2 * sets.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET_TOKENS))
-    response = columns("rep long, shared binary, df binary")
-    keys = columns("rep long, token long")
+    response = columns("key long, shared binary, df binary")
+    keys = columns("key long, token long")
 
     def spread(batches):
         for batch in batches:
@@ -192,34 +203,34 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                 every = np.concatenate(tokens)
                 owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
                 bucket = (every % np.uint64(buckets)).astype(np.int32)
-                ids = batch.column("rep").to_numpy()
+                ids = batch.column("key").to_numpy()
                 yield record_batch(POSTINGS, pack(bucket, owner, every, ids, buckets))
 
     def choose(batches):
         for batch in batches:
-            reps, found = [], []
-            for rep, n, parts in zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "parts"))):
+            owners, found = [], []
+            for key, n, parts in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "parts"))):
                 token = np.frombuffer(b"".join(p["shared"] for p in parts), np.uint64)
                 df = np.frombuffer(b"".join(p["df"] for p in parts), np.uint32)
                 need = -(-n * PERCENT // 100)
                 size = (n - need + 1) - (n - len(token))
                 if size > 0:
                     rarest = token[np.lexsort((token, df))[:size]]
-                    reps.append(np.full(len(rarest), rep))
+                    owners.append(np.full(len(rarest), key))
                     found.append(rarest.view(np.int64))
-            if reps:
-                yield record_batch(keys, [np.concatenate(reps), np.concatenate(found)])
+            if owners:
+                yield record_batch(keys, [np.concatenate(owners), np.concatenate(found)])
 
-    answered = sets.select("rep", "tokens").mapInArrow(spread, POSTINGS).groupBy("bucket").applyInArrow(_frequencies, response)
-    whole = answered.groupBy("rep").agg(F.collect_list(F.struct("shared", "df")).alias("parts"))
-    return whole.join(sets.select("rep", "n"), "rep").select("rep", "n", "parts").mapInArrow(choose, keys)
+    answered = sets.select("key", "tokens").mapInArrow(spread, POSTINGS).groupBy("bucket").applyInArrow(_frequencies, response)
+    whole = answered.groupBy("key").agg(F.collect_list(F.struct("shared", "df")).alias("parts"))
+    return whole.join(sets.select("key", "n"), "key").select("key", "n", "parts").mapInArrow(choose, keys)
 
 
 def _blocks(sets: DataFrame, workspace: Workspace) -> DataFrame:
     """(id, component): sets that share a prefix shingle, directly or through others."""
     keys = workspace.keep(_prefixes(sets), "prefixes")
-    hubs = keys.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    edges = keys.join(hubs.select("token", "hub"), "token").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    hubs = keys.groupBy("token").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    edges = keys.join(hubs.select("token", "hub"), "token").select(F.col("key").alias("a"), F.col("hub").alias("b"))
     return components(edges, workspace)
 
 
@@ -265,48 +276,70 @@ class Sets:
     """Which sets are known to be connected."""
 
     def __init__(self, count: int) -> None:
-        self.parent = np.arange(count)
+        self.parent = list(range(count))
 
     def find(self, x: int) -> int:
         while self.parent[x] != x:
             self.parent[x] = self.parent[self.parent[x]]
-            x = int(self.parent[x])
+            x = self.parent[x]
         return x
 
-    def flat(self) -> np.ndarray:
-        while not np.array_equal(top := self.parent[self.parent], self.parent):
-            self.parent = top
-        return self.parent
-
-
-def linked(one: np.ndarray, other: np.ndarray) -> bool:
-    common = len(np.intersect1d(one, other, assume_unique=True))
-    return 100 * common >= PERCENT * (len(one) + len(other) - common)
 
-
-def join_block(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect whatever the links between the sets connect. With two sides only
-    pairs across them are looked at, with one (all zero) all pairs."""
+def overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of `one` has in common with each of `other`."""
+    tokens, place = np.unique(np.concatenate(one), return_inverse=True)
+    theirs = np.concatenate(other)
+    place_2 = np.minimum(np.searchsorted(tokens, theirs), len(tokens) - 1)
+    held = tokens[place_2] == theirs
+    owner = np.repeat(np.arange(len(one)), [len(s) for s in one])
+    owner_2, place_2 = np.repeat(np.arange(len(other)), [len(s) for s in other])[held], place_2[held]
+    common = np.zeros((len(one), len(other)), np.int64)
+    for start in range(0, len(tokens), STRIP):
+        width = min(STRIP, len(tokens) - start)
+        marks = []
+        for count, rows, columns_ in ((len(one), owner, place), (len(other), owner_2, place_2)):
+            inside = (columns_ >= start) & (columns_ < start + width)
+            mark = np.zeros((count, width), np.float32)
+            mark[rows[inside], columns_[inside] - start] = 1
+            marks.append(mark)
+        common += (marks[0] @ marks[1].T).astype(np.int64)
+    return common
+
+
+def linked_pairs(one: list[np.ndarray], other: list[np.ndarray], near: np.ndarray) -> np.ndarray:
+    """Of the near pairs, those that are linked."""
+    found = np.zeros(near.shape, bool)
+    rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    if len(rows):
+        sizes, sizes_2 = (np.array([len(s) for s in sets]) for sets in (one, other))
+        common = overlaps([one[i] for i in rows], [other[j] for j in cols])
+        union = sizes[rows][:, None] + sizes_2[cols][None, :] - common
+        found[np.ix_(rows, cols)] = 100 * common >= PERCENT * union
+    return found & near
+
+
+def join_block(sets: list[np.ndarray], side: np.ndarray, weights: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect whatever the links between the sets connect, and for each set the
+    weights of all sets that it is linked with. Sides 1 and 2: only pairs across them are looked
+    at; all sides 0: all pairs."""
+    own = not side.any()
+    if not own and len(np.unique(side)) < 2:
+        return [], np.zeros(len(sets), np.int64)
     largest = max(map(len, sets))
     bits = FEWEST_BITS
     while bits < min(MOST_BITS, BITS_PER_TOKEN * largest):
         bits *= 2
     order = sorted(range(len(sets)), key=lambda n: (side[n], int(sets[n][0]), len(sets[n])))
-    halves = [[n for n in order if side[n] == s] for s in np.unique(side)]
+    halves = [np.array([n for n in order if side[n] == s]) for s in np.unique(side)]
     trees = [Tree([sets[n] for n in half], bits) for half in halves]
-    left, right, own = trees[0], trees[-1], len(halves) == 1
-    names, others = np.array(halves[0]), np.array(halves[-1])
-    known, links = Sets(len(sets)), []
+    left, right = trees[0], trees[-1]
+    names, others = halves[0], halves[-1]
+    known, links, weight = Sets(len(sets)), [], np.zeros(len(sets), np.int64)
     pending = [(len(left.levels) - 1, 0, len(right.levels) - 1, 0)]
     while pending:
         level, node, level_2, node_2 = pending.pop()
         if own and level == level_2 and node > node_2:
             continue
-        rows, cols = left.spans[level][[node, node + 1]], right.spans[level_2][[node_2, node_2 + 1]]
-        tops = known.flat()
-        below, below_2 = tops[names[rows[0] : rows[1]]], tops[others[cols[0] : cols[1]]]
-        if (below == below[0]).all() and (below_2 == below[0]).all() and (len(below) > 1 or len(below_2) > 1 or not own):
-            continue
         if max(level, level_2) > 1:
             down = level >= level_2, level_2 >= level
             first = list(left.children(level, node)) if down[0] else [node]
@@ -315,79 +348,101 @@ def join_block(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]
             near = reachable(left.levels[level], right.levels[level_2], first, second)
             pending += [(level, first[i], level_2, second[j]) for i, j in zip(*np.nonzero(near))]
             continue
+        rows, cols = left.spans[level][[node, node + 1]], right.spans[level_2][[node_2, node_2 + 1]]
         near = reachable(left.levels[0], right.levels[0], slice(*rows), slice(*cols))
-        for i, j in zip(*np.nonzero(near)):
-            a, b = names[rows[0] + i], others[cols[0] + j]
-            if (own and rows[0] + i >= cols[0] + j) or known.find(a) == known.find(b):
-                continue
-            if linked(sets[a], sets[b]):
+        alike = own and node == node_2
+        if alike:
+            near &= ~np.eye(len(near), dtype=bool)
+        one, other = names[slice(*rows)], others[slice(*cols)]
+        found = linked_pairs([sets[n] for n in one], [sets[n] for n in other], near)
+        weight[one] += found @ weights[other]
+        if not alike:
+            weight[other] += weights[one] @ found
+        tops, tops_2 = (np.array([known.find(int(n)) for n in part]) for part in (one, other))
+        for i, j in zip(*np.nonzero(found & (tops[:, None] != tops_2[None, :]))):
+            a, b = int(one[i]), int(other[j])
+            if known.find(a) != known.find(b):
                 known.parent[known.find(a)] = known.find(b)
-                links.append((int(a), int(b)))
-    return links
+                links.append((a, b))
+    return links, weight
 
 
-LINKS = columns("a long, b long")
+LINKS = columns("a long, b long, weight long")
 
 
 def _join_unit(table: pa.Table) -> pa.Table:
-    """The links of a unit: of many small blocks, or of one pair of parts of a large block."""
+    """The links of a unit: of many small blocks, or of one pair of parts of a large block. A row
+    with a = b holds the weight of all links of a."""
     found = []
-    rows = zip(*(table.column(c).to_pylist() for c in ("block", "side", "rep", "tokens")))
+    rows = zip(*(table.column(c).to_pylist() for c in ("block", "side", "key", "tokens", "weight")))
     rows = sorted(rows, key=lambda r: r[:3])
     start = 0
     for end in range(1, len(rows) + 1):
         if end == len(rows) or rows[end][0] != rows[start][0]:
             group = rows[start:end]
             if len(group) > 1:
-                sets = [np.frombuffer(r[3], np.uint64) for r in group]
-                side = np.array([r[1] for r in group])
-                found += [(group[i][2], group[j][2]) for i, j in join_block(sets, side)]
+                keys = [r[2] for r in group]
+                links, weight = join_block(
+                    [np.frombuffer(r[3], np.uint64) for r in group], np.array([r[1] for r in group]), np.array([r[4] for r in group])
+                )
+                found += [(keys[i], keys[j], 0) for i, j in links]
+                found += [(key, key, w) for key, w in zip(keys, weight.tolist()) if w]
             start = end
-    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+    return pa.table({c: pa.array([r[n] for r in found], pa.int64()) for n, c in enumerate(("a", "b", "weight"))})
 
 
 def _links(sets: DataFrame, blocks: DataFrame, workspace: Workspace) -> DataFrame:
-    """(a, b): links between representatives that connect what all links connect."""
-    members = sets.join(blocks.select(F.col("id").alias("rep"), F.col("component").alias("block")), "rep")
-    sizes = members.groupBy("block").agg(F.ceil(F.sum("n") / UNIT_TOKENS).alias("parts"), F.sum("n").alias("volume"))
+    """(a, b, weight): links between classes that connect what all links connect and, where
+    a = b, the documents that class a is linked with in one unit."""
+    members = sets.join(blocks.select(F.col("id").alias("key"), F.col("component").alias("block")), "key")
+    sizes = members.groupBy("block").agg(F.sum("n").alias("volume"))
+    sizes = sizes.withColumn("parts", F.ceil(F.col("volume") / UNIT_TOKENS))
     whole = sizes.agg(F.sum("volume")).first()[0] or 0
     bins = max(2 * sets.sparkSession.sparkContext.defaultParallelism, -(-whole // UNIT_TOKENS))
-    members = members.join(sizes.select("block", "parts"), "block")
-    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    members = members.join(sizes, "block")
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
     split = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
-    unit = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("block"), F.lit(bins))).otherwise(
+    unit = F.when(F.col("volume") * OWN_UNIT < UNIT_TOKENS, F.pmod(F.xxhash64("block"), F.lit(bins))).otherwise(
         F.xxhash64("block", low, high)
     )
-    side = F.when(F.col("part") == low, 0).otherwise(1)
-    units = split.select(unit.alias("unit"), "block", side.alias("side"), "rep", "tokens")
+    side = F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2)
+    units = split.select(unit.alias("unit"), "block", side.alias("side"), "key", "tokens", "weight")
     return workspace.keep(units.groupBy("unit").applyInArrow(_join_unit, LINKS), "links")
 
 
 def near_copies(documents: DataFrame, workspace: Workspace) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_size: one row per row of `documents`.
+    """doc_id, n_shingles, component_id, class_size, n_links: one row per row of `documents`.
 
     Two texts are linked when the share of common distinct 5-word shingles is 80 of 100 or more;
     component_id is the smallest id that links reach; class_size counts the rows with an equal
-    set. A text without words, and a NULL one, has an empty set, class size 1 and is its own
-    component. A row without an id takes no part and has no component. An id on several rows is
-    judged by each row's text."""
+    set, n_links all other rows that the row is linked with, those of its class included. A text
+    without words, and a NULL one, has an empty set, class size 1, no link and is its own
+    component. A row without an id takes no part and has no component, size or number of links.
+    An id on several rows is judged by each row's text."""
     signed = workspace.keep(_signatures(documents), "signatures")
     classes = signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("class_size")
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n_shingles"),
+        F.count("*").alias("class_size"),
     )
-    classes = workspace.keep(classes, "classes")
+    # The numbers hold because the table is written.
+    classes = workspace.keep(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
     sets = _sets(documents, _candidates(documents, classes, workspace), workspace)
     links = _links(sets, _blocks(sets, workspace), workspace)
-    found = components(links, workspace).select(F.col("id").alias("rep"), "component")
-    named = classes.join(found, "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"), "class_size"
+    found = components(links.select("a", "b"), workspace).select(F.col("id").alias("key"), "component")
+    counted = links.filter("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("weight").alias("linked"))
+    placed = classes.join(found, "key", "left").join(counted, "key", "left").select(
+        "digest", "class_size", F.col("first.doc_id").alias("rep"), F.coalesce("component", "key").alias("component"),
+        (F.coalesce("linked", F.lit(0)) + F.col("class_size") - 1).alias("n_links"),
     )
+    least = placed.groupBy("component").agg(F.min("rep").alias("least"))
+    named = workspace.keep(placed.join(least, "component").select("digest", "class_size", "least", "n_links"), "named")
     own = F.col("doc_id").isNotNull()
     return signed.join(named, "digest", "left").select(
         "doc_id", "n_shingles",
-        F.when(own, F.coalesce("component", "doc_id")).alias("component_id"),
+        F.when(own, F.coalesce("least", "doc_id")).alias("component_id"),
         F.when(own, F.coalesce("class_size", F.lit(1))).alias("class_size"),
+        F.when(own, F.coalesce("n_links", F.lit(0))).alias("n_links"),
     )
 
 

@@ -39,7 +39,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near copies: doc_id, n_shingles, component_id, class_size."""
+    """Near copies: doc_id, n_shingles, component_id, class_size, n_links."""
     return jaccard_tree.near_copies(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
@@ -49,6 +49,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and the number of tokens of every text."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
@@ -65,14 +66,17 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document."""
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every query: query_id, rank, vec_id, score."""
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, Workspace(spark))
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every text: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = decontamination.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.hits(found).select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -82,6 +86,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text: doc_id, held_out, lang_pred, score."""
     documents = table(spark, sf_dir, "documents")
     out = held_out("doc_id", 3, 1)
     found = language_crf.identify(documents, language_crf.fit(documents, ~out))

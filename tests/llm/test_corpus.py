@@ -25,8 +25,8 @@ def words(text):
 
 
 def brute_components(rows):
-    """(id, set size, smallest id reached) by counting the common shingles of all pairs."""
-    sets, holders, parent = [], defaultdict(list), list(range(len(rows)))
+    """(id, set size, smallest id reached, links) by counting the common shingles of all pairs."""
+    sets, holders, parent, links = [], defaultdict(list), list(range(len(rows))), Counter()
 
     def top(n):
         while parent[n] != n:
@@ -40,13 +40,14 @@ def brute_components(rows):
         for m, count in common.items():
             if 100 * count >= 80 * (len(found) + len(sets[m]) - count):
                 parent[top(n)] = top(m)
+                links.update((n, m))
         for s in found:
             holders[s].append(n)
         sets.append(found)
     least = {}
     for n, (i, _) in enumerate(rows):
         least[top(n)] = min(i, least.get(top(n), i))
-    return sorted((i, len(sets[n]), least[top(n)]) for n, (i, _) in enumerate(rows))
+    return sorted((i, len(sets[n]), least[top(n)], links[n]) for n, (i, _) in enumerate(rows))
 
 
 def near_copies_of(seed, count):
@@ -67,14 +68,69 @@ def test_components_equal_brute_force(spark, workspace, monkeypatch, unit):
     rows = [(n * 3 % 1009, t) for n, t in enumerate(texts)]
     df = spark.createDataFrame([(i, t, "r") for i, t in rows], "doc_id long, text string, rep string")
     found = jaccard_tree.near_copies(df, workspace).collect()
-    assert sorted(tuple(r)[:3] for r in found) == brute_components(rows)
+    columns = ("doc_id", "n_shingles", "component_id", "n_links")
+    assert sorted(tuple(r[c] for c in columns) for r in found) == brute_components(rows)
+
+
+def test_links_of_rows_that_share_an_id(spark, workspace):
+    one, other = (" ".join(f"{c}{n}" for n in range(60)) for c in "wv")
+    rows = [(7, one), (7, other), (8, one + " more"), (9, other + " more"), (7, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r["doc_id"], r["component_id"], r["n_links"]) for r in jaccard_tree.near_copies(df, workspace).collect())
+    assert found == {(7, 7, 2): 2, (7, 7, 1): 1, (8, 7, 2): 1, (9, 7, 1): 1}
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 150), st.booleans())
+def test_join_of_a_block(seed, count, halved):
+    """The weights are those of all pairs, and the links connect the same sets."""
+    draw = np.random.default_rng(seed)
+    bases = [np.unique(draw.integers(0, 2**63, int(n)).astype(np.uint64)) for n in draw.integers(2, 60, 4)]
+    sets, seen = [], set()
+    for _ in range(count):
+        s = bases[int(draw.integers(0, 4))].copy()
+        s[draw.random(len(s)) < 0.06] += np.uint64(1)
+        s = np.unique(s)
+        if s.tobytes() not in seen:
+            seen.add(s.tobytes())
+            sets.append(s)
+    side = draw.integers(1, 3, len(sets)) if halved else np.zeros(len(sets), int)
+    weights = draw.integers(1, 5, len(sets))
+    links, weight = jaccard_tree.join_block(sets, side, weights)
+    wanted, edges = np.zeros(len(sets), int), []
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+            if (not halved or side[i] != side[j]) and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                wanted[i] += weights[j]
+                wanted[j] += weights[i]
+                edges.append((i, j))
+    assert weight.tolist() == wanted.tolist()
+
+    def parts(pairs):
+        label = list(range(len(sets)))
+        for _ in label:
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    assert parts(links) == parts(edges)
+
+
+def test_overlaps_in_strips(monkeypatch):
+    monkeypatch.setattr(jaccard_tree, "STRIP", 7)
+    draw = np.random.default_rng(2)
+    one, other = ([np.unique(draw.integers(0, 60, 30).astype(np.uint64)) for _ in range(k)] for k in (5, 3))
+    assert jaccard_tree.overlaps(one, other).tolist() == [[len(np.intersect1d(a, b)) for b in other] for a in one]
 
 
 def test_components_of_odd_rows(spark, workspace):
     text = " ".join(f"w{n}" for n in range(30))
     df = spark.createDataFrame([(5, text), (5, text), (3, text), (None, text), (9, None), (9, "x")], "doc_id long, text string")
     found = Counter(map(tuple, jaccard_tree.near_copies(df, workspace).collect()))
-    assert found == {(5, 26, 3, 3): 2, (3, 26, 3, 3): 1, (None, 26, None, None): 1, (9, 0, 9, 1): 1, (9, 1, 9, 1): 1}
+    assert found == {
+        (5, 26, 3, 3, 2): 2, (3, 26, 3, 3, 2): 1, (None, 26, None, None, None): 1, (9, 0, 9, 1, 0): 1, (9, 1, 9, 1, 0): 1,
+    }
     kept = jaccard_tree.keep_first(df, workspace).collect()
     assert Counter(r["doc_id"] for r in kept) == {3: 1, 9: 1, None: 1}
     assert jaccard_tree.near_copies(df.limit(0), workspace).count() == 0
