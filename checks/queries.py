@@ -416,6 +416,11 @@ QUERIES: dict[str, Query] = {
     ),
     "monthly_sales": on_mart(olap.monthly_sales),
     "kpi_cards": on_mart(measures.kpi_cards),
+    "distinct_sales": on_mart(measures.distinct_sales),
+    "distinct_sales_by_region_month": on_mart(measures.distinct_sales, by=("region", "anio", "mes")),
+    "distinct_sales_sliced": on_mart(
+        measures.distinct_sales, years=[1997, 1998], categories=["SMALL", "LARGE"], by=("region",)
+    ),
     "kpis_by_region_month": on_mart(measures.kpi_cards, by=("region", "anio", "mes")),
     "sliced_kpis": on_mart(
         measures.kpi_cards, years=[1997, 1998], categories=["SMALL", "LARGE"], regions=["asia"]

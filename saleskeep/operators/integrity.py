@@ -40,17 +40,19 @@ def unique_violations(mart: Mart) -> DataFrame:
 def orphans(mart: Mart) -> DataFrame:
     """Per foreign key the number of fact rows without a dimension row; zero on good data.
 
-    Fact rows are counted per key first, so the comparison sees each key once.
+    The fact is read once: its rows are counted per combination of the keys, and each
+    combination is compared with every dimension.
     """
-    counts = []
-    for name, dimension in (("fecha", mart.dates), ("producto", mart.products),
-                            ("region", mart.regions)):
-        per_key = mart.fact.groupBy(dimension.key).agg(F.count("*").alias("n"))
-        lost = per_key.join(dimension.df.select(dimension.key), dimension.key, "left_anti")
-        total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows")
-        counts.append(lost.agg(total).select(F.lit(f"fk_fact_{name}").alias("constraint_name"),
-                                             "orphan_rows"))
-    return reduce(DataFrame.unionByName, counts)
+    dimensions = {"fk_fact_fecha": mart.dates, "fk_fact_producto": mart.products, "fk_fact_region": mart.regions}
+    rows = mart.fact.groupBy(*(d.key for d in dimensions.values())).agg(F.count("*").alias("n"))
+    for name, dimension in dimensions.items():
+        known = dimension.df.select(dimension.key, F.lit(True).alias(name)).distinct()
+        rows = rows.join(F.broadcast(known) if dimension.fits else known, dimension.key, "left")
+    lost = (
+        F.coalesce(F.sum(F.when(F.col(name).isNull(), F.col("n"))), F.lit(0)).alias(name)
+        for name in dimensions
+    )
+    return rows.agg(*lost).unpivot([], list(dimensions), "constraint_name", "orphan_rows")
 
 
 def key_ranges(mart: Mart) -> DataFrame:

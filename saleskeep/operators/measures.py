@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from saleskeep.operators.keys import ranked_desc
 from saleskeep.operators.mart import MONEY, Mart
+from saleskeep.workspace import Workspace
 
 # The report's measures over totals of the mart, for any grouping of them. Published sale ids
 # are unique, so counting sales is counting distinct ones.
@@ -35,14 +36,42 @@ def kpi_cards(
 
     One row, or one per value of ``by``. The average ticket is NULL when there are no sales.
     """
+    rows = _sliced(mart, Mart.totals, years, categories, regions, by)
+    return rows.groupBy(*by).agg(*(measure().alias(name) for name, measure in MEASURES.items()))
+
+
+def distinct_sales(
+    mart: Mart,
+    years: Sequence[int] | None = None,
+    categories: Sequence[str] | None = None,
+    regions: Sequence[str] | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The number of different sale ids within the chosen slices, exact also where the fact holds
+    an id twice: bitmaps of the finer slices are merged before they are counted."""
+    rows = _sliced(mart, Mart.id_bitmaps, years, categories, regions, by)
+    merged = rows.groupBy(*by, "_run").agg(F.bitmap_or_agg("_ids").alias("_ids"))
+    number = F.coalesce(F.sum(F.bitmap_count("_ids")), F.lit(0))
+    return merged.groupBy(*by).agg(number.alias("numero_ventas_distintas"))
+
+
+def _sliced(
+    mart: Mart,
+    read: Callable[..., DataFrame],
+    years: Sequence[int] | None,
+    categories: Sequence[str] | None,
+    regions: Sequence[str] | None,
+    by: Sequence[str],
+) -> DataFrame:
+    """What ``read`` gives of the mart per value of ``by``, within the chosen slices."""
     if years is not None:
         mart = mart.in_years(years)
     slices = {"categoria": categories, "region": regions}
     chosen = {column: values for column, values in slices.items() if values is not None}
-    rows = mart.totals(*dict.fromkeys((*chosen, *by)))
+    rows = read(mart, *dict.fromkeys((*chosen, *by)))
     for column, values in chosen.items():
         rows = rows.filter(F.col(column).isin(list(values)))
-    return rows.groupBy(*by).agg(*(measure().alias(name) for name, measure in MEASURES.items()))
+    return rows
 
 
 def month_over_month(mart: Mart, *by: str) -> DataFrame:
@@ -66,10 +95,12 @@ def month_over_month(mart: Mart, *by: str) -> DataFrame:
 
 def regional_share(mart: Mart, *by: str) -> DataFrame:
     """Each region's part of the total over all regions, within every other grouping column."""
-    all_regions = F.sum("ventas_totales").over(Window.partitionBy(*by)).cast("double")
-    share = F.try_divide(F.col("ventas_totales").cast("double"), all_regions)
+    totals = mart.totals(*by, "region")
+    total = F.sum("ventas_totales")
+    all_regions = total.over(Window.partitionBy(*by)) if by else totals.agg(total).scalar()
+    share = F.try_divide(F.col("ventas_totales").cast("double"), all_regions.cast("double"))
     return (
-        mart.totals(*by, "region")
+        totals
         .withColumn("participacion_regional", F.round(share, 6))
         .select(*by, "region", "ventas_totales", "participacion_regional")
     )
@@ -80,4 +111,6 @@ def product_ranking(mart: Mart, buckets: int | None = None) -> DataFrame:
     if buckets is None:
         buckets = 1 if mart.products.fits else RANK_RANGES
     totals = mart.totals("producto").select("producto", "ventas_totales", "unidades_vendidas")
+    if buckets > 1:  # read once per step of the ranking
+        totals = Workspace(totals.sparkSession).keep(totals, "totals")
     return ranked_desc(totals, "ventas_totales", "posicion", ["producto"], buckets)

@@ -169,3 +169,17 @@ def test_broken_keys_are_counted(frames):
     assert orphans == {"fk_fact_fecha": 0, "fk_fact_producto": 0, "fk_fact_region": 2}
     twice = {r.constraint_name: r.violations for r in integrity.unique_violations(doubled).collect()}
     assert {name for name, n in twice.items() if n} == {"fact_ventas.id_venta", "fact_ventas.venta_key"}
+
+
+def test_repeated_sales_count_once(frames):
+    fact, *dimensions = frames
+    once, twice = (Mart.measured(f, *dimensions) for f in (fact, fact.union(fact.filter("id_venta < 4"))))
+    assert measures.distinct_sales(twice).first()[0] == 7 < twice.fact.count()
+    for by in (("region",), ("anio", "categoria"), ("producto",)):
+        assert sorted(measures.distinct_sales(twice, by=by).collect()) == sorted(measures.distinct_sales(once, by=by).collect())
+        cards = {tuple(r[c] for c in by): r.numero_ventas for r in measures.kpi_cards(once, by=by).collect()}
+        assert {tuple(r[c] for c in by): r.numero_ventas_distintas for r in measures.distinct_sales(twice, by=by).collect()} == cards
+    assert measures.distinct_sales(twice, years=[2026], categories=["X"], regions=["Lima"]).first()[0] == 3
+    assert measures.distinct_sales(twice, regions=[]).first()[0] == 0
+    apart = fact.limit(2).drop("id_venta").crossJoin(fact.sparkSession.createDataFrame([(-40_000,), (-7,), (0,), (7,), (40_000,)], "id_venta long"))
+    assert measures.distinct_sales(Mart.measured(apart.select(fact.columns), *dimensions)).first()[0] == 5
