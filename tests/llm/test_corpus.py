@@ -313,7 +313,7 @@ def test_stages_keep_columns_and_take_effect(spark):
         assert found.filter(f"doc_id = {10**6}").count() == (0 if name == "language_id" else 1), name
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     kept = corpus_pipeline.ngram_jaccard_join(spark, documents, SF_DIR)
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in brute_components(rows)})
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c, _ in brute_components(rows)})
     left = corpus_pipeline.benchmark_decontamination(spark, documents, SF_DIR)
     assert decontamination.find_matches(left, spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).filter("size(matches) > 0").count() == 0
 
