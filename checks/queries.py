@@ -21,6 +21,7 @@ from saleskeep.plans.batch import initialize, run_daily_batch
 from saleskeep.plans.views import view as warehouse_view
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
+from saleskeep.sources.split_csv import read_split_csv
 from saleskeep.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,19 @@ def replace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.scan_sales(spark, table)
 
 
+def outside_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales from files that quote every field and break lines inside some, each file in splits."""
+    workspace = Workspace(spark)
+    path = workspace.path("csv")
+    notes = F.concat("producto", F.lit('\n"'), "categoria", F.lit('",\r\n\n'))
+    rows = source.as_text(tables.sales(spark, sf_dir)).withColumn(
+        "producto", F.when(F.col("id_venta").endswith("2"), notes).otherwise(F.col("producto"))
+    )
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(header=True, quoteAll=True, escape='"', **exact).csv(path)
+    return read_split_csv(spark, path, workspace)
+
+
 def raw_landing(w: Warehouse) -> DataFrame:
     return landing.read_landed(w.spark, w.store.base, w.landed(BATCH)["raw_uri"])
 
@@ -356,6 +370,7 @@ def on_mart(report: Callable, *arguments, **options) -> Query:
 QUERIES: dict[str, Query] = {
     "scan_sales": scan_sales,
     "csv_roundtrip": csv_roundtrip,
+    "outside_csv": outside_csv,
     "replace_source": replace_source,
     "raw_landing": on_warehouse(raw_landing),
     "write_once": write_once,

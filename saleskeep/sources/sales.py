@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleskeep.contract import SALES_SCHEMA, SALES_TEXT_SCHEMA, SOURCE_COLUMNS
+from saleskeep.sources.split_csv import BLOCK, FILE, PLACE, read_split_csv
+from saleskeep.workspace import Workspace
 
 # Rows per written file: keeps every file small enough for one task to read.
 ROWS_PER_FILE = 1_000_000
@@ -84,8 +86,8 @@ def write_csv(sales: DataFrame, path: str, mode: str = "errorifexists") -> None:
     )
 
 
-#: Where a row was read: its file, the block of it, and a number that grows within the block.
-POSITION = ("_file", "_block", "_place")
+#: Where a row was read.
+POSITION = (FILE, BLOCK, PLACE)
 
 
 def read_csv(
@@ -95,8 +97,8 @@ def read_csv(
     the columns POSITION.
 
     A row with too few or too many fields fails the read. ``multi_line`` allows line breaks
-    inside quoted fields and reads each file in one task; turn it off to split files that
-    were not written in bounded parts.
+    inside quoted fields and reads each file in one task, which suits files of bounded size like
+    those that `write_csv` makes; `read_split_csv` reads others.
     """
     rows = (
         spark.read.schema(SALES_TEXT_SCHEMA)
@@ -117,11 +119,12 @@ def read_csv(
 
 
 def replace_source(spark: SparkSession, csv_path: str, table_path: str) -> int:
-    """Replace the source table with the rows of a CSV; returns the rows loaded.
+    """Replace the source table with the rows of a CSV of any origin; returns the rows loaded.
 
     Text that does not fit its column type fails the load and an empty field is NULL.
     """
-    text = read_csv(spark, csv_path)
+    workspace = Workspace(spark)
+    text = read_split_csv(spark, csv_path, workspace)
     typed = text.select(
         *(
             F.nullif(F.col(field.name), F.lit("")).cast(field.dataType).alias(field.name)
@@ -129,4 +132,5 @@ def replace_source(spark: SparkSession, csv_path: str, table_path: str) -> int:
         )
     )
     typed.write.mode("overwrite").parquet(table_path)
+    workspace.drop()
     return spark.read.schema(SALES_SCHEMA).parquet(table_path).count()
