@@ -17,6 +17,7 @@ from saleskeep.operators.contract_checks import field_findings
 from saleskeep.operators.mart import Mart
 from saleskeep.operators.security import permitted_regions, visible_sales
 from saleskeep.plans import store as stores
+from saleskeep.plans.batch import artifact_integrity as check_artifacts
 from saleskeep.plans.batch import initialize, run_daily_batch
 from saleskeep.plans.views import view as warehouse_view
 from saleskeep.sources import catalog, landing
@@ -173,6 +174,15 @@ def artifact_log(w: Warehouse) -> DataFrame:
     return w.store.read("artefactos").select("batch_id", "artifact", "schema_version", "sha256", "record_count")
 
 
+def artifact_integrity(w: Warehouse) -> DataFrame:
+    """Whether what both batches landed still has the bytes that were logged."""
+    for batch_id in (FIRST_BATCH, BATCH):
+        w.landed(batch_id)
+    first, second = (check_artifacts(w.store, batch_id) for batch_id in (FIRST_BATCH, BATCH))
+    checked = first.unionByName(second).filter("artifact IN ('raw', 'manifest')")
+    return checked.select("batch_id", "artifact", "intact")
+
+
 # Catalogs and contract
 
 
@@ -385,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "batch_manifest": on_warehouse(batch_manifest),
     "content_digest": content_digest,
     "artifact_log": on_warehouse(artifact_log),
+    "artifact_integrity": on_warehouse(artifact_integrity),
     "catalog_products": catalog_products,
     "catalog_categories": catalog_categories,
     "catalog_checks": catalog_checks,

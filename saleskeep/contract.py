@@ -105,7 +105,10 @@ FACT_SCHEMA = _schema(
 ACCESS_SCHEMA = _schema("usuario_correo string, region string, activo boolean")
 ARTIFACT_SCHEMA = _schema(
     "batch_id string, artifact string, uri string, schema_version string, sha256 string, "
-    "record_count bigint"
+    "record_count bigint, files_sha256 string"
+)
+ARTIFACT_CHECK_SCHEMA = _schema(
+    "batch_id string, artifact string, uri string, n_files bigint, n_bytes bigint, intact boolean"
 )
 
 FLAT_COLUMNS = (

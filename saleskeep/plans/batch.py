@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleskeep.contract import ARTIFACT_SCHEMA, SCHEMA_VERSION
+from saleskeep.contract import ARTIFACT_CHECK_SCHEMA, ARTIFACT_SCHEMA, SCHEMA_VERSION
 from saleskeep.frames import small_frame
 from saleskeep.functions.clock import checked_batch_id, date_folder, instant, utc_now
 from saleskeep.functions.parse import whole_number
@@ -21,6 +21,7 @@ from saleskeep.operators.audit import (
     batch_control,
     batch_summary,
     content_digest,
+    files_digest,
     manifest,
     reconciliation,
     require_reconciled,
@@ -40,7 +41,7 @@ from saleskeep.operators.warehouse import (
 )
 from saleskeep.plans.store import Store, Transaction
 from saleskeep.sources.catalog import Catalogs
-from saleskeep.sources.landing import land_manifest, land_raw, quarantine_json, read_landed
+from saleskeep.sources.landing import is_finished, land_manifest, land_raw, quarantine_json, read_landed
 from saleskeep.sources.sales import POSITION
 from saleskeep.workspace import Workspace
 
@@ -83,14 +84,29 @@ def extract_raw(store: Store, sales: DataFrame, batch_id: str, now: datetime) ->
 
 
 def _log_artifacts(store: Store, batch_id: str, *entries: tuple) -> None:
-    """Record artifacts of a batch next to its others; a batch has three at most."""
+    """Record artifacts of a batch next to its others, with the digests of their files; a batch has
+    three at most."""
     renewed = [entry[1] for entry in entries]
+    entries = [(*entry, files_digest(store.spark, entry[2]).first().sha256) for entry in entries]
     with store.begin() as change:
         kept = change.read("artefactos", batch_id).filter(~F.col("artifact").isin(renewed)).collect()
         rows = small_frame(store.spark, [*kept, *entries], ARTIFACT_SCHEMA)
         change.replace_batch("artefactos", rows, batch_id)
 
 
+def artifact_integrity(store: Store, batch_id: str) -> DataFrame:
+    """The files of a batch's artifacts as they are now, against the log: (batch_id, artifact, uri,
+    n_files, n_bytes, intact). An artifact whose folder is gone has no files and is not intact."""
+    checked = []
+    for entry in store.read("artefactos", batch_id).collect():
+        found = (0, 0, None)
+        if is_finished(store.spark, entry.uri):
+            found = files_digest(store.spark, entry.uri).first()
+        intact = found[2] == entry.files_sha256
+        checked.append((entry.batch_id, entry.artifact, entry.uri, found[0], found[1], intact))
+    return small_frame(store.spark, checked, ARTIFACT_CHECK_SCHEMA)
+
+
 def staged(landed: DataFrame, batch_id: str, ingested_at: datetime) -> DataFrame:
     """Landed rows, read back with their positions, with their batch, ingestion time and row key:
     1, 2, ... in the order of files and of the rows in them, however they were split for reading."""

@@ -1,0 +1,94 @@
+"""Digests of files as they lie in storage."""
+
+from datetime import UTC, datetime
+from hashlib import sha256
+from pathlib import Path
+
+import pytest
+
+from saleskeep.operators.audit import files_digest
+from saleskeep.plans.batch import artifact_integrity, initialize, run_daily_batch
+
+BATCH = "BATCH-20260301-080000"
+
+
+def by_hand(files):
+    """The digest from names and contents."""
+    nodes = {}
+    for name, content in files.items():
+        leaf = f"{name} {len(content)} {sha256(content).hexdigest()}"
+        nodes.setdefault(sha256(name.encode()).hexdigest()[:3], []).append(leaf)
+    lines = (f"{node} {sha256('\n'.join(sorted(leaves)).encode()).hexdigest()}" for node, leaves in nodes.items())
+    return len(files), sum(map(len, files.values())), sha256("\n".join(sorted(lines)).encode()).hexdigest()
+
+
+def write(folder, files):
+    folder.mkdir()
+    for name, content in files.items():
+        (folder / name).write_bytes(content)
+    (folder / "_SUCCESS").touch()
+    return str(folder)
+
+
+FILES = {f"part-{n:05}.csv": bytes([n % 256]) * n for n in range(1, 60)}
+
+
+def test_digest_of_files(spark, tmp_path):
+    path = write(tmp_path / "a", FILES)
+    assert tuple(files_digest(spark, path).first()) == by_hand(FILES)
+
+
+@pytest.mark.parametrize("change", [
+    {"part-00009.csv": b"\x09" * 8 + b"\x08"},
+    {"part-00009.csv": b"\x09" * 8},
+    {"extra.csv": b"1"},
+])
+def test_digest_sees_every_change(spark, tmp_path, change):
+    before = files_digest(spark, write(tmp_path / "a", FILES)).first().sha256
+    assert files_digest(spark, write(tmp_path / "b", FILES | change)).first().sha256 != before
+
+
+def test_digest_sees_renamed_files(spark, tmp_path):
+    one = files_digest(spark, write(tmp_path / "a", {"x": b"1", "y": b"2"})).first()
+    other = files_digest(spark, write(tmp_path / "b", {"x": b"2", "y": b"1"})).first()
+    assert (one.n_files, one.n_bytes) == (other.n_files, other.n_bytes) and one.sha256 != other.sha256
+
+
+def test_digest_of_a_folder_without_files(spark, tmp_path):
+    assert tuple(files_digest(spark, write(tmp_path / "a", {})).first()) == by_hand({})
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    products = spark.createDataFrame([("laptop", "tec", True)], "producto string, categoria string, activo boolean")
+    regions = spark.createDataFrame([("norte", True)], "region string, activo boolean")
+    store = initialize(spark, str(tmp_path / "base"), products, regions)
+    columns = "id_venta string, fecha_venta string, producto string, categoria string, region string, cantidad string, precio_unitario string"
+    rows = [(str(n), "2026-02-03", "laptop", "tec", "norte" if n % 5 else "sur", "2", "3.50") for n in range(1, 40)]
+    result = run_daily_batch(
+        store, spark.createDataFrame(rows, columns), BATCH, lambda: datetime(2026, 3, 1, 14, tzinfo=UTC)
+    )
+    return store, result
+
+
+def intact(store):
+    return {row.artifact: row.intact for row in artifact_integrity(store, BATCH).collect()}
+
+
+def test_a_changed_byte_is_found(landed):
+    store, result = landed
+    assert intact(store) == {"raw": True, "manifest": True, "quarantine": True}
+    file = max(Path(result["raw_uri"]).glob("part-*.csv"), key=lambda f: f.stat().st_size)
+    content = file.read_bytes()
+    # Past the checksums of the local file system, as a fault of the storage would be.
+    (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    file.write_bytes(content.replace(b"laptop", b"Laptop", 1))
+    assert intact(store) == {"raw": False, "manifest": True, "quarantine": True}
+    file.write_bytes(content)
+    assert intact(store)["raw"]
+
+
+def test_a_lost_artifact_is_found(landed):
+    store, result = landed
+    (Path(result["quarantine_uri"]) / "_SUCCESS").unlink()
+    assert intact(store) == {"raw": True, "manifest": True, "quarantine": False}
