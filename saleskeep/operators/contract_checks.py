@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from saleskeep.contract import SOURCE_FIELDS
 from saleskeep.functions.parse import dashed_date, plain_decimal, whole_number
 from saleskeep.functions.text import filled
-from saleskeep.operators.quality import catalog_keys, with_catalogs, with_repeats
+from saleskeep.operators.lookup import Lookup, lookup_join
+from saleskeep.operators.quality import repeated_ids
 from saleskeep.sources.catalog import Catalogs
 from saleskeep.workspace import Workspace
 
@@ -20,13 +21,11 @@ def field_findings(
 
     ``rows`` are staged text rows and ``catalogs`` come from :meth:`Catalogs.exact`. A row
     without a value is not counted again under type or rule.
+
+    No row meets a lookup: rows are counted per sale id, product, category and region, so that
+    only keys and counts are shuffled and joined.
     """
     text = rows.select("raw_row_key", *(name for name, *_ in SOURCE_FIELDS))
-    sale_id = F.coalesce(filled(F.col("id_venta")), F.lit(""))
-    counted = with_repeats(text, sale_id, "_id", workspace)
-    keyed = with_catalogs(
-        counted.select("*", *catalog_keys(filled)), text.select(*catalog_keys(filled)), catalogs
-    )
 
     def typed(name: str, kind: str) -> Column:
         text = filled(F.col(name))
@@ -36,12 +35,22 @@ def field_findings(
             return plain_decimal(text, 12, 2)
         return text if kind == "string" else whole_number(text, kind)
 
+    def unknown(name: str, lookup: Lookup, found: str) -> DataFrame:
+        """The rows with a value that the catalog lacks."""
+        key = filled(F.col(name)).alias(lookup.key)
+        values = text.groupBy(key).agg(F.count("*").alias("n")).filter(F.col(lookup.key).isNotNull())
+        matched = lookup_join(values, lookup, [lookup.key], weights=values)
+        return matched.agg(F.coalesce(F.sum(F.when(F.col(found).isNull(), F.col("n"))), F.lit(0)))
+
+    repeats = repeated_ids(text, filled(F.col("id_venta")), "_id").filter(F.col("_id").isNotNull())
+    counted = {
+        "unique": repeats.agg(F.coalesce(F.sum("n"), F.lit(0))),
+        "known_product": unknown("producto", catalogs.products, "categoria_catalogo"),
+        "known_category": unknown("categoria", catalogs.categories, "categoria_conocida"),
+        "known_region": unknown("region", catalogs.regions, "region_conocida"),
+    }
     broken = {
-        "unique": lambda value: F.col("n").isNotNull(),
         "not_future": lambda value: value > processing_date,
-        "known_product": lambda value: F.col("categoria_catalogo").isNull(),
-        "known_category": lambda value: F.col("categoria_conocida").isNull(),
-        "known_region": lambda value: F.col("region_conocida").isNull(),
         "greater_than_zero": lambda value: value <= 0,
     }
     counts = []
@@ -50,9 +59,13 @@ def field_findings(
         counts += [
             F.count_if(missing).alias(f"{name}_missing"),
             F.count_if(~missing & value.isNull()).alias(f"{name}_mistyped"),
-            F.count_if(~missing & broken[rule](value)).alias(f"{name}_broken"),
         ]
-    totals = keyed.agg(*counts)
+        if rule in broken:
+            counts.append(F.count_if(~missing & broken[rule](value)).alias(f"{name}_broken"))
+    totals = text.agg(*counts)
+    for name, _, _, rule in SOURCE_FIELDS:
+        if rule in counted:
+            totals = totals.crossJoin(counted[rule].toDF(f"{name}_broken"))
     per_field = F.array(
         *(
             F.struct(

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from saleskeep.operators.keys import next_key, numbered, ranked_desc
-from saleskeep.operators.lookup import Lookup, broadcast_size, lookup_join
+from saleskeep.operators.lookup import Lookup, broadcast_size, key_counts, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -56,6 +56,14 @@ def test_salted_join_spreads_the_hot_key(spark, skewed, limits):
     assert max(row["count"] for row in sizes) < total / 4
 
 
+def test_only_keys_of_crowded_parts_are_counted(skewed):
+    rows = skewed[0]
+    every = Counter(row.key for row in rows.collect())
+    found = {row.key: row.n for row in key_counts(rows, "key", 100).collect()}
+    assert {key: n for key, n in found.items() if n > 100} == {"hot": 400, None: 120}
+    assert len(found) < len(every) / 2 and all(every[key] == n for key, n in found.items())
+
+
 def test_broadcast_only_when_counted_small(skewed, limits):
     rows, table = skewed
     assert Lookup.measured(table, "key").fits

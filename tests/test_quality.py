@@ -2,6 +2,7 @@ from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from synthetic import synthetic_sales, with_controlled_errors
 
 from saleskeep.contract import EVALUATED_SCHEMA, SOURCE_COLUMNS, STAGED_SCHEMA
 from saleskeep.functions.clock import instant
@@ -206,3 +207,38 @@ def test_error_codes_as_array(spark):
         quality.error_codes(F.col("a")).alias("a"), quality.error_codes(F.col("b")).alias("b")
     ).first()
     assert (row.a, row.b) == (["DQ-001", "DQ-005"], [])
+
+
+def test_lookups_of_any_size_give_the_same(spark, workspace, limits):
+    """Broadcast or shuffled, with hot keys, blank and repeated ids."""
+    changes = [change for change, *_ in CASES] * 3 + [{"id_venta": "5"}] * 4 + [{"id_venta": ""}] * 3
+    rows = workspace.keep(staged_rows(spark, changes), "staged")
+    found = []
+    for setting in ((1 << 27, 2_000_000), (0, 2)):
+        limits(*setting)
+        products, regions = seed_products(spark), seed_regions(spark)
+        exact, active = Catalogs.exact(products, regions), Catalogs.active(products, regions)
+        assert exact.products.fits == (setting[0] > 0)
+        today = instant(CLOCK).cast("date")
+        tables = (
+            evaluate(prepare(rows, active, workspace)),
+            issues.quality_issues(rows, exact, today, workspace),
+            field_findings(rows, exact, today, workspace),
+        )
+        found.append([sorted(map(str, table.collect())) for table in tables])
+    assert found[0] == found[1] and all(found[0])
+
+
+def test_contract_counts_move_no_rows(spark, workspace, exact_catalogs):
+    rows = workspace.keep(staged_rows(spark, [{}]), "staged")
+    found = field_findings(rows, exact_catalogs, instant(CLOCK).cast("date"), workspace)
+    assert "raw_row_key" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_issues_move_no_text_whose_checks_are_done(spark, workspace, limits):
+    limits(0, 2_000_000)
+    exact = Catalogs.exact(seed_products(spark), seed_regions(spark))
+    rows = workspace.keep(staged_rows(spark, [{}, {"id_venta": "10"}]), "staged")
+    found = issues.quality_issues(rows, exact, instant(CLOCK).cast("date"), workspace)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_fecha" not in plan.split("Join")[1] and "_failed" in plan
