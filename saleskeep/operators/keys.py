@@ -69,7 +69,8 @@ def numbered_in_order(
 
 def numbered_by_place(df: DataFrame, file: str, block: str, place: str, name: str) -> DataFrame:
     """Number the rows 1, 2, ... by file, block and place, where the places in a block follow each
-    other. Nothing is shuffled: the shifts have a row per block. ``df`` is a written table."""
+    other. Nothing is shuffled: the shifts have a row per block. ``df`` is read twice and has to give
+    the same places within a block each time."""
     blocks = df.groupBy(file, block).agg(F.count("*").alias("_size"), F.min(place).alias("_first"))
     shifts = _shifts(blocks, file, block)
     return (

@@ -118,11 +118,11 @@ def staged(landed: DataFrame, batch_id: str, ingested_at: datetime) -> DataFrame
 
 
 def stage_raw(store: Store | Transaction, batch_id: str, raw_uri: str, ingested_at: datetime) -> None:
-    """Stage a landed batch. The row keys are fixed by being written here."""
-    workspace = Workspace(store.spark)
-    landed = workspace.keep(read_landed(store.spark, store.base, raw_uri, positions=True), "landed")
+    """Stage a landed batch. The row keys are fixed by being written here. Landed files never change
+    and each is read by one task, so their places are the same when they are read for the shifts
+    and for the rows."""
+    landed = read_landed(store.spark, store.base, raw_uri, positions=True)
     store.replace_batch("stg_ventas_raw", staged(landed, batch_id, ingested_at), batch_id)
-    workspace.drop()
 
 
 def process_batch(
