@@ -11,6 +11,11 @@ from saleskeep.operators.audit import content_digest
 from saleskeep.sources.sales import as_text, read_csv, write_csv
 
 
+# Rejects per written file: a JSON row is several times as long as its CSV row, and a file's digest
+# reads it whole.
+REJECTS_PER_FILE = 100_000
+
+
 class ImmutableArtifactError(RuntimeError):
     """A finished folder holds other content than the one offered."""
 
@@ -76,7 +81,8 @@ def quarantine_json(spark: SparkSession, rejected: DataFrame, path: str) -> None
     def write(rows: DataFrame, to: str) -> None:
         ordered = rows.orderBy("rechazo_key")
         text = ordered.withColumn(stamp, F.col(stamp).cast("string"))
-        text.write.mode("overwrite").option("ignoreNullFields", False).json(to)
+        options = {"ignoreNullFields": False, "maxRecordsPerFile": REJECTS_PER_FILE}
+        text.write.mode("overwrite").options(**options).json(to)
 
     write_once(
         spark, rejected, path, write, lambda at: read_quarantine(spark, at, rejected), (stamp,)

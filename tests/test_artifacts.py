@@ -7,7 +7,9 @@ from pathlib import Path
 import pytest
 
 from saleskeep.operators.audit import files_digest
-from saleskeep.plans.batch import artifact_integrity, initialize, run_daily_batch
+from saleskeep.plans.batch import artifact_integrity, initialize, run_daily_batch, stage_raw
+from saleskeep.sources import landing
+from saleskeep.workspace import Workspace
 
 BATCH = "BATCH-20260301-080000"
 
@@ -92,3 +94,22 @@ def test_a_lost_artifact_is_found(landed):
     store, result = landed
     (Path(result["quarantine_uri"]) / "_SUCCESS").unlink()
     assert intact(store) == {"raw": True, "manifest": True, "quarantine": False}
+
+
+def test_exported_rejects_lie_in_files_of_bounded_size(landed, tmp_path, monkeypatch):
+    store, _ = landed
+    monkeypatch.setattr(landing, "REJECTS_PER_FILE", 3)
+    rejected = store.read("dq_rechazos", BATCH)
+    landing.quarantine_json(store.spark, rejected, f"{tmp_path}/export")
+    sizes = [len(f.read_text().splitlines()) for f in (tmp_path / "export").glob("part-*.json")]
+    assert sum(sizes) == rejected.count() == 7 and max(sizes) <= 3
+    assert sorted(landing.read_quarantine(store.spark, f"{tmp_path}/export", rejected).collect()) == sorted(rejected.collect())
+
+
+def test_staging_writes_no_copy_of_what_was_landed(landed, monkeypatch):
+    store, result = landed
+    before = {r.id_venta: r.raw_row_key for r in store.read("stg_ventas_raw", BATCH).collect()}
+    monkeypatch.setattr(Workspace, "keep", None)
+    stage_raw(store, BATCH, result["raw_uri"], datetime(2026, 3, 1, 14, tzinfo=UTC))
+    after = {r.id_venta: r.raw_row_key for r in store.read("stg_ventas_raw", BATCH).collect()}
+    assert after == before and sorted(after.values()) == list(range(1, 40))
