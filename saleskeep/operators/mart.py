@@ -106,15 +106,9 @@ class Mart:
             sums = sums.join(dimension.df, dimension.key)
         return add_up(sums, *by)
 
-    def id_bitmaps(self, *by: str) -> DataFrame:
-        """Per value of the ``by`` columns and run of 32,768 ids the sale ids as a bitmap.
-
-        Built while rows are partially aggregated; bitmaps of one run can be merged, so a sale
-        counts once however many rows, files or finer slices hold it.
-        """
-        run = F.bitmap_bucket_number("id_venta").alias("_run")
-        ids = F.bitmap_construct_agg(F.bitmap_bit_position("id_venta")).alias("_ids")
-        return self.flat("id_venta", *by).groupBy(*by, run).agg(ids)
+    def sale_ids(self, *by: str) -> DataFrame:
+        """The sale ids with the ``by`` columns."""
+        return self.flat("id_venta", *by)
 
 
 def add_up(sums: DataFrame, *by: str) -> DataFrame:

@@ -183,3 +183,9 @@ def test_repeated_sales_count_once(frames):
     assert measures.distinct_sales(twice, regions=[]).first()[0] == 0
     apart = fact.limit(2).drop("id_venta").crossJoin(fact.sparkSession.createDataFrame([(-40_000,), (-7,), (0,), (7,), (40_000,)], "id_venta long"))
     assert measures.distinct_sales(Mart.measured(apart.select(fact.columns), *dimensions)).first()[0] == 5
+
+
+def test_distinct_sales_shuffle_ids_alone(mart):
+    """Not a bitmap of 4 KB for each slice and run of ids that a task holds an id of."""
+    found = measures.distinct_sales(mart, by=("region", "anio", "mes"))
+    assert "bitmap" not in found._jdf.queryExecution().executedPlan().toString()
