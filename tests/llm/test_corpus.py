@@ -288,6 +288,17 @@ def test_scores_are_probabilities():
     assert 0 < np.exp(lm.spelling(every, odds, weights)).sum() <= 1
 
 
+def test_weights_come_from_every_word(spark):
+    """Also from those beyond any number of words of a bucket."""
+    odds = np.random.default_rng(2).normal(size=(len(lm.ORDERS), 1 << lm.TABLE_BITS)).astype(np.float32)
+    buckets = [[b"w%d" % n for n in range(low, high)] for low, high in ((0, 1_500), (1_500, 1_600), (1_600, 1_601))]
+    vocabulary = spark.createDataFrame([(b" ".join(b), len(b)) for b in buckets] + [(b"", 0)], "words binary, distinct long")
+    ordered = [sorted(b, key=lambda w: (zlib.crc32(w[::-1]), w)) for b in buckets]
+    want = np.average([lm.mix(odds, b) for b in ordered], axis=0, weights=[len(b) for b in buckets])
+    assert np.allclose(lm._weights(vocabulary, odds), want)
+    assert not np.allclose(lm.mix(odds, ordered[0]), lm.mix(odds, ordered[0][:512]))
+
+
 def test_scores_of_odd_rows(spark, workspace):
     df = spark.createDataFrame([(1, None, 1), (1, "", 2), (None, "A b a", 3), (2, "new " * 9000, 4)], "doc_id long, text string, score int")
     found = lm.score_texts(df, F.col("doc_id") == 2, workspace).collect()
