@@ -37,6 +37,8 @@ LEXICON_MINIMUM = 3
 SPLICE = (6, 40)
 SEQUENCE, SEGMENT = 64, 64
 ROUNDS, RATE, DECAY = 40, 0.1, 1e-6
+#: Training sequences whose label probabilities are held at once.
+TOGETHER = 512
 MEMO_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,22 +133,27 @@ def train(texts: list[list[str]], labels: list[str], seed: int = 0) -> Model:
     padded = np.zeros(total, np.int64)
     padded[: len(line)] = ids
     real = (np.arange(total) < len(line)).reshape(-1, SEQUENCE)
-    target = np.zeros((total, count))
-    target[np.arange(len(line)), gold] = 1
-    target = target.reshape(-1, SEQUENCE, count)
     padded = padded.reshape(-1, SEQUENCE)
     word, feature = with_lexicon(distinct, lexicon)
-    both = real[:, 1:]
-    gold_pairs = np.einsum("nti,ntj->ij", target[:, :-1] * both[:, :, None], target[:, 1:] * both[:, :, None])
+    inner = np.arange(1, len(line)) % SEQUENCE > 0  # pairs of words of one sequence
+    gold_pairs = np.bincount((gold[:-1] * count + gold[1:])[inner], minlength=count**2).reshape(count, count)
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     for step in range(1, ROUNDS + 1):
         weights, transitions, start = parameters
         score = np.stack([np.bincount(word, weights[feature, k], len(distinct)) for k in range(count)], axis=1)
-        posterior, pairs = _posteriors(score[padded], real, transitions, start)
-        error = ((target - posterior) * real[:, :, None]).reshape(-1, count)
-        by_word = np.stack([np.bincount(padded.ravel(), error[:, k], len(distinct)) for k in range(count)], axis=1)
+        by_word, expected, firsts = np.zeros((len(distinct), count)), np.zeros((count, count)), np.zeros(count)
+        for at in range(0, len(padded), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            posterior, pairs = _posteriors(score[padded[part]], real[part], transitions, start)
+            error = np.where(real[part][:, :, None], -posterior, 0.0)
+            own = gold[at * SEQUENCE : (at + TOGETHER) * SEQUENCE]
+            error.reshape(-1, count)[np.arange(len(own)), own] += 1
+            for k in range(count):
+                by_word[:, k] += np.bincount(padded[part].ravel(), error[:, :, k].ravel(), len(distinct))
+            expected += pairs
+            firsts += error[:, 0].sum(axis=0)
         slope = np.stack([np.bincount(feature, by_word[word, k], len(weights)) for k in range(count)], axis=1)
-        slopes = [slope, gold_pairs - pairs, (target[:, 0] - posterior[:, 0]).sum(axis=0)]
+        slopes = [slope, gold_pairs - expected, firsts]
         for n, gradient in enumerate(slopes):
             gradient = gradient / len(line) - DECAY * parameters[n]
             first[n] = 0.9 * first[n] + 0.1 * gradient

@@ -54,6 +54,17 @@ def test_copies_and_long_texts_leave_a_full_sample(spark, monkeypatch):
     assert all(text[0] == "long" for name, text in found if name == "y")
 
 
+def test_sequences_held_at_once_do_not_change_the_model(monkeypatch):
+    draw = np.random.default_rng(3)
+    texts = [[f"{'xy'[n % 2]}{w}" for w in draw.integers(50, size=40)] for n in range(40)]
+    models = []
+    for together in (512, 3):
+        monkeypatch.setattr(crf, "TOGETHER", together)
+        models.append(crf.train(texts, ["xy"[n % 2] for n in range(40)]))
+    assert np.allclose(models[0].weights, models[1].weights, atol=1e-4)
+    assert np.allclose(models[0].transitions, models[1].transitions, atol=1e-4)
+
+
 def test_marginals_equal_all_paths():
     draw = np.random.default_rng(1)
     score, step, start = draw.normal(size=(5, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
