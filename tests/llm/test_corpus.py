@@ -1,6 +1,7 @@
 """Near copies, passages, language-model scores and the pipeline against brute force."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -288,6 +289,40 @@ def test_scores_are_probabilities():
     assert 0 < np.exp(lm.spelling(every, odds, weights)).sum() <= 1
 
 
+def test_decisions_are_mixed_a_few_bytes_at_a_time():
+    """By the definition, and without tables of eight numbers for every byte of the words beside what
+    is returned."""
+    spelled = [b"w%d" % (n * n) for n in range(3_000)] + [lm.END]
+    tracemalloc.start()
+    slots, bits, gates, starts = lm.decisions(spelled)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * sum(found.nbytes for found in (slots, bits, gates, starts))
+    for n in (0, 17, 2_999, 3_000):
+        word = spelled[n] if spelled[n] == lm.END else spelled[n] + lm.CLOSE
+        for place, byte in enumerate(word):
+            for depth in range(8):
+                at = starts[n] + 8 * place + depth
+                assert (bits[at], gates[at]) == (byte >> 7 - depth & 1, 8 * min(place, 3) + depth)
+                for k, order in enumerate(lm.ORDERS):
+                    code = np.full(1, order + 1, np.uint64)
+                    for back in range(1, order + 1):
+                        code = lm._mixed(code + np.uint64(word[place - back] + 1 if back <= place else 0))
+                    node = np.uint64((256 | byte) >> 8 - depth)
+                    code = lm._mixed(code + node * np.full(1, 0x9E3779B97F4A7C15, np.uint64))
+                    assert slots[k, at] == code[0] >> np.uint64(64 - lm.TABLE_BITS)
+
+
+def test_counts_of_decisions():
+    spelled = [b"w%d" % n for n in range(lm.SPELL_WORDS + 10)]
+    table = np.zeros((len(lm.ORDERS), 2, 1 << lm.TABLE_BITS), np.uint32)
+    lm.add_counts(table, spelled)
+    slots, bits, _, _ = lm.decisions(spelled)
+    for k in range(len(lm.ORDERS)):
+        for bit in (0, 1):
+            assert np.array_equal(table[k, bit], np.bincount(slots[k, bits == bit], minlength=table.shape[2]))
+
+
 def test_weights_come_from_every_word(spark):
     """Also from those beyond any number of words of a bucket."""
     odds = np.random.default_rng(2).normal(size=(len(lm.ORDERS), 1 << lm.TABLE_BITS)).astype(np.float32)
