@@ -23,7 +23,7 @@ from saleskeep.plans.views import view as warehouse_view
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
 from saleskeep.sources.split_csv import read_split_csv
-from saleskeep.workspace import Workspace
+from saleskeep.workspace import PACKED, Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +60,7 @@ def replace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outside_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales from files that quote every field and break lines inside some, each file in splits."""
-    workspace = Workspace(spark)
+    workspace = Workspace(spark, options=PACKED)
     path = workspace.path("csv")
     notes = F.concat("producto", F.lit('\n"'), "categoria", F.lit('",\r\n\n'))
     rows = source.as_text(tables.sales(spark, sf_dir)).withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from saleskeep.contract import SALES_SCHEMA, SALES_TEXT_SCHEMA, SOURCE_COLUMNS
 from saleskeep.sources.split_csv import BLOCK, FILE, PLACE, read_split_csv
-from saleskeep.workspace import Workspace
+from saleskeep.workspace import PACKED, Workspace
 
 # Rows per written file: keeps every file small enough for one task to read.
 ROWS_PER_FILE = 1_000_000
@@ -123,7 +123,7 @@ def replace_source(spark: SparkSession, csv_path: str, table_path: str) -> int:
 
     Text that does not fit its column type fails the load and an empty field is NULL.
     """
-    workspace = Workspace(spark)
+    workspace = Workspace(spark, options=PACKED)
     text = read_split_csv(spark, csv_path, workspace)
     typed = text.select(
         *(

@@ -1,9 +1,10 @@
+import csv
 import random
 
 import pytest
 
 from saleskeep.contract import SOURCE_COLUMNS
-from saleskeep.sources import sales
+from saleskeep.sources import sales, split_csv
 from saleskeep.sources.split_csv import UnclosedQuoteError, read_split_csv
 
 HEADER = ",".join(SOURCE_COLUMNS)
@@ -113,3 +114,19 @@ def test_a_header_of_several_lines_and_repeated_headers(split_read, tmp_path):
     path.write_text(f"{names}\n1,2,p,c,r,1,2\n{HEADER}\n2,2,p,c,r,1,2\n")
     for size in (20, 1_000_000):
         assert [r[0] for r in rows_of(split_read(path, size))] == ["1", "2"]
+
+
+@pytest.mark.parametrize("size", [60, 1_000_000])
+def test_lines_are_put_in_order_by_parts_of_bounded_size(spark, split_read, workspace, tmp_path, monkeypatch, size):
+    """And the rows that are shuffled for it name their part without the path of its file."""
+    monkeypatch.setattr(split_csv, "PART_BITS", 2)
+    kept, keep = {}, workspace.keep
+    monkeypatch.setattr(workspace, "keep", lambda df, name: kept.setdefault(name, keep(df, name)))
+    rows = [[f"{n}", "2026-01-02", f"a{n}" + "\nb" * (n % 9), 'c "d"', "e", "1", "2"] for n in range(60)]
+    with open(tmp_path / "in.csv", "w", newline="") as file:
+        writer = csv.writer(file, quoting=csv.QUOTE_ALL, lineterminator="\n")
+        writer.writerows([SOURCE_COLUMNS, *rows])
+    found = split_read(tmp_path / "in.csv", size).collect()
+    assert sorted(map(list, found)) == sorted(rows)
+    assert split_csv.FILE not in kept["records"].columns
+    assert kept["records"].groupBy(split_csv.FIRST).count().agg({"count": "max"}).first()[0] == 4
