@@ -235,11 +235,19 @@ def _with_limbs(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(of("limbs"), F.when(F.col(of("power")).isNotNull(), limbs))
 
 
+# Quantities and prices as they mostly are: whose product any decimal type holds.
+PLAIN_QUANTITY, PLAIN_PRICE = r"^[0-9]{1,9}\z", r"^[0-9]{1,9}(?:\.[0-9]{1,2})?\z"
+
+
 def _products(landed: DataFrame) -> DataFrame:
-    """The rows' hashes and `_amount`: quantity times price as (place, value) of its limbs, NULL
-    where either is no number."""
+    """The rows' hashes and quantity times price: `_plain` where both are plain numbers; elsewhere
+    `_amount`, (place, value) of its limbs, NULL where either is no number."""
     names = ("cantidad", "precio_unitario")
-    rows = with_row_hash(landed, SOURCE_COLUMNS, *(F.col(n) for n in names))
+    plain = F.col("cantidad").rlike(PLAIN_QUANTITY) & F.col("precio_unitario").rlike(PLAIN_PRICE)
+    rows = with_row_hash(landed, SOURCE_COLUMNS, *(F.col(n) for n in names), plain.alias("_is_plain"))
+    product = F.col("cantidad").try_cast("decimal(9,0)") * F.col("precio_unitario").try_cast("decimal(11,2)")
+    rows = rows.withColumn("_plain", F.when(F.col("_is_plain"), product).cast("decimal(28,2)"))
+    rows = rows.withColumns({n: F.when(F.col("_is_plain"), None).otherwise(F.col(n)) for n in names})
     for name in names:
         rows = _with_limbs(rows, name)
     place = F.col("_cantidad_place") + F.col("_precio_unitario_place")
@@ -250,30 +258,35 @@ def _products(landed: DataFrame) -> DataFrame:
             lambda y, j: F.struct((place + i + j).alias("place"), (x * y).alias("value")),
         ),
     ))
-    return rows.select("_hash_1", "_hash_16", pairs.alias("_amount"))
+    return rows.select("_hash_1", "_hash_16", "_plain", pairs.alias("_amount"))
 
 
 def landed_figures(landed: DataFrame) -> tuple[int, Decimal, str]:
     """Rows, the exact sum of quantity times price, and the digest of a landed batch, in one pass.
 
     Numbers may have any number of digits; underscores between them don't count. What is no
-    number, or has an exponent beyond a million, adds nothing. Products of limbs are added up per
-    place, so there is a row per place here, and these are put together.
+    number, or has an exponent beyond a million, adds nothing. Products of
+    plain numbers are added up as decimals, others as limbs per place, so there is a row per place
+    here, and these are put together.
     """
     first = F.coalesce(F.col("_at"), F.lit(0)) == 0
-    parts = _products(landed).select("_hash_1", "_hash_16", F.posexplode_outer("_amount").alias("_at", "_limb"))
+    parts = _products(landed).select("_hash_1", "_hash_16", "_plain", F.posexplode_outer("_amount").alias("_at", "_limb"))
     counted = F.when(first, F.col("_hash_1")), F.when(first, F.col("_hash_16"))
     found = parts.select(
         F.col("_limb.place").alias("place"), F.col("_limb.value").alias("value"), first.alias("first"),
-        counted[0].alias("_hash_1"), counted[1].alias("_hash_16"),
+        counted[0].alias("_hash_1"), counted[1].alias("_hash_16"), "_plain",
     ).groupBy("place").agg(
+        F.sum("_plain").alias("plain"),
         F.sum(F.col("value").cast("decimal(20,0)")).alias("value"), F.count_if("first").alias("rows"),
         *(piece.alias(f"piece_{n}") for n, piece in enumerate(_hash_pieces())),
     ).collect()
     count = sum(r.rows for r in found)
     pieces = (str(sum(r[f"piece_{n}"] or 0 for r in found)) for n in range(6))
     digest = sha256(":".join([str(count), *pieces]).encode()).hexdigest()
-    return count, _total({r.place: int(r.value) for r in found if r.place is not None}), digest
+    sums = {r.place: int(r.value) for r in found if r.place is not None}
+    for cents in (int(r.plain.scaleb(2)) for r in found if r.plain is not None):
+        sums[-1] = sums.get(-1, 0) + cents * 10 ** (LIMB - 2)
+    return count, _total(sums), digest
 
 
 def _total(sums: dict[int, int]) -> Decimal:

@@ -7,7 +7,9 @@ import synthetic as synth
 from pyspark.sql import functions as F
 
 from saleskeep import contract
+from saleskeep.contract import SALES_TEXT_SCHEMA
 from saleskeep.functions.clock import instant
+from saleskeep.operators import audit
 from saleskeep.operators.audit import content_digest, manifest
 from saleskeep.sources import catalog, landing, sales
 
@@ -150,6 +152,22 @@ def test_manifest_adds_amounts_of_any_size(spark):
     assert manifest(rows.limit(0), "T", F.lit(None)).first().total_amount == "0.00"
 
 
+def test_manifest_adds_plain_numbers_as_decimals(spark):
+    """And takes only others apart into limbs."""
+    pairs = [("17", "901.00"), ("0", "5"), ("007", "0.10"), ("999999999", "999999999.99")]
+    others = [("1000000000", "1"), ("3", "1.005"), ("-2", "4"), ("1_000", "2.5"), ("2", "1e2"), (" 2", "3"), ("x", "1"), ("", "1"), ("2", None), ("2\n", "1")]
+    rows = spark.createDataFrame([("1", "d", "p", "c", "r", q, x) for q, x in pairs + others], SALES_TEXT_SCHEMA)
+    found = audit._products(rows).select("_plain", "_amount").collect()
+    assert [r["_plain"] for r in found] == [Decimal(q) * Decimal(x) for q, x in pairs] + [None] * len(others)
+    assert all(r["_amount"] is None for r in found[: len(pairs)])
+    old = [r["_amount"] is not None for r in found[len(pairs) :]]
+    readable = [(q, x) for (q, x), told in zip(others, old) if told]
+    assert {(q, x) for q, x in others[:5]} <= set(readable) and ("x", "1") not in readable
+    want = sum(Decimal(q.strip()) * Decimal(x) for q, x in pairs + readable)
+    count, total, _ = audit.landed_figures(rows)
+    assert (count, total) == (len(pairs + others), want)
+
+
 def test_manifest_adds_numbers_of_any_length(spark):
     pairs = [("1" * 40, "9" * 60 + ".25"), ("-" + "7" * 25, "0." + "0" * 30 + "3"), ("1e1001", "2"), ("-1e1001", "2"), ("5E-1200", "1"),
              ("1_000", "1.5_0"), ("1e400", "1e-399"), ("0e9999999", "7"), ("+.5", "00012."), ("123456789" * 9, "987654321" * 9)]
