@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -125,6 +126,47 @@ def test_overlaps_in_strips(monkeypatch):
     assert jaccard_tree.overlaps(one, other).tolist() == [[len(np.intersect1d(a, b)) for b in other] for a in one]
 
 
+def test_memory_of_a_bucket():
+    """A bucket is counted in a few times its own size."""
+    draw = np.random.default_rng(9)
+    slices, held, settled = [], defaultdict(set), np.arange(2**31, 2**31 + 10, dtype=np.uint32)
+    for n in range(20):
+        owners = [draw.bytes(16) for _ in range(500)] + ([b"c" * 16] if n < 2 else [])
+        tokens = [draw.choice(2**31, 40, replace=False).astype(np.uint32) for _ in owners]
+        if n < 2:
+            tokens[-1] = np.arange(2**31 + 20, 2**31 + 60, dtype=np.uint32)
+        elif n == 2:
+            tokens[0][:10] = settled
+        for owner, some in zip(owners, tokens):
+            for token in some.tolist():
+                held[token].add(owner)
+        counts = np.full(len(owners), 40, np.uint32).tobytes()
+        slices.append((b"".join(owners), counts, np.concatenate(tokens).tobytes(), settled.tobytes() if n == 3 else b""))
+    table = pa.table({c: pa.array([s[n] for s in slices], pa.binary()) for n, c in enumerate(("owners", "counts", "tokens", "settled"))})
+    tracemalloc.start()
+    found = jaccard_tree._unique_counts(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    alone = Counter(next(iter(who)) for token, who in held.items() if len(who) == 1 and token not in set(settled.tolist()))
+    assert dict(zip(found.column("digest").to_pylist(), found.column("n").to_pylist())) == alone
+    assert alone[b"c" * 16] == 40 and peak < 40 * 400_000
+    assert jaccard_tree._unique_counts(table.slice(0, 0)).num_rows == 0
+
+
+def test_texts_come_in_small_batches(spark, workspace, monkeypatch):
+    """Whatever the session's limit, near_copies writes with its own, and gives it back."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before, keep = spark.conf.get(name), workspace.keep
+
+    def noted(df, to):
+        seen[to] = spark.conf.get(name)
+        return keep(df, to)
+
+    monkeypatch.setattr(workspace, "keep", noted)
+    jaccard_tree.near_copies(spark.createDataFrame([(1, "a b"), (2, "a b")], "doc_id long, text string"), workspace)
+    assert max(int(seen["signatures"]), int(seen["sets"])) <= 4 << 20 and spark.conf.get(name) == before
+
+
 def test_components_of_odd_rows(spark, workspace):
     text = " ".join(f"w{n}" for n in range(30))
     df = spark.createDataFrame([(5, text), (5, text), (3, text), (None, text), (9, None), (9, "x")], "doc_id long, text string")
