@@ -282,6 +282,48 @@ def test_verbatim_repeats_whose_parts_occur_elsewhere(spark, workspace):
     assert len(repeated) > 1_000 and not repeated - covered
 
 
+def test_fuzzy_repeats_whose_seeds_stand_first_elsewhere(spark, workspace):
+    """Each seed of a changed copy stands in some document before the one that it copies."""
+    draw = np.random.default_rng(17)
+    own = lambda: [f"o{x}" for x in draw.integers(0, 10**9, 70)]
+    docs, whole = {}, []
+    for k in range(6):
+        text = [f"t{k}_{n}" for n in range(120)]
+        copy = [f"x{k}_{n}" if n % 15 == 14 else w for n, w in enumerate(text)]
+        docs |= {100 * k + n: own() + text[15 * n : 15 * n + 14] + own() for n in range(8)}
+        docs[100 * k + 50], docs[100 * k + 60] = own() + text + own(), own() + copy + own()
+        whole.append(100 * k + 60)
+    # A line in many documents, with nothing in common around it.
+    line = [f"line{n}" for n in range(12)]
+    docs |= {1000 + n: own() + line + own() for n in range(300)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    found = [tuple(r) for r in passages.find_passages(df, workspace).collect()]
+    assert {(r[0], r[3]) for r in found} == {(i, i - 10) for i in whole}
+    covered = Counter(i for i, p in {(r[0], p) for r in found for p in range(r[1], r[2])})
+    assert all(70 <= r[1] and r[2] <= 190 for r in found) and min(covered.values()) >= 104
+
+
+def test_pairs_of_a_seed_in_parts(spark, workspace, monkeypatch):
+    """The same pairs, in however many units the places of a seed are compared."""
+    draw = np.random.default_rng(4)
+    words = [[f"w{x}" for x in draw.integers(0, 12, 200)] for _ in range(6)]
+    rows = []
+    for n in range(60):
+        text = list(words[n % 6])
+        for place in draw.integers(0, 200, 40):
+            text[place] = f"v{n}_{place}"
+        rows.append((n, " ".join(text[:96] + ["s"] * 8 + text[104:])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hits = spark.createDataFrame([(n, 96, 0, 96, 7) for n in range(60)], passages.HITS)
+    nothing = spark.createDataFrame([], passages.PASSAGES)
+    around = [Counter(t.split()[4:196]) for _, t in rows]
+    expected = {(n, m) for n in range(60) for m in range(n) if (around[n] & around[m]).total() >= 40}
+    for part in (128, 7):
+        monkeypatch.setattr(passages, "PART", part)
+        pairs = passages._open_pairs(df, hits, nothing, workspace).collect()
+        assert sorted((r["doc_id"], r["source"]) for r in pairs) == sorted(expected)
+
+
 def test_cut():
     assert passages.cut(b" a  b c\nd e ", [(1, 3)]) == b" a  d e "
     assert passages.cut(b"a b c", [(0, 2), (1, 3)]) == b""
