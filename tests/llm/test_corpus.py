@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from saleskeep.llm import context_mixing as lm
 from saleskeep.llm import decontamination, jaccard_tree, passages, queries
 from saleskeep.llm.common import held_out
 from saleskeep.llm.graph import components
+from saleskeep.llm.shingles import word_hashes
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -324,6 +326,65 @@ def test_pairs_of_a_seed_in_parts(spark, workspace, monkeypatch):
         assert sorted((r["doc_id"], r["source"]) for r in pairs) == sorted(expected)
 
 
+def covered_words(found):
+    return {(r["doc_id"], p) for r in found.collect() for p in range(r["start_word"], r["end_word"])}
+
+
+def test_only_pairs_that_may_make_a_passage(spark, workspace):
+    """Common words around a common line are not enough, and no word of a passage is lost."""
+    draw = np.random.default_rng(6)
+    base = [[f"w{x}" for x in draw.integers(0, 12, 200)] for _ in range(6)]
+    rows = []
+    for n in range(60):
+        text = list(base[n % 6])
+        for place in draw.integers(0, 200, 20):
+            text[place] = f"v{n}_{place}"
+        rows.append((n, " ".join(text[:96] + [f"s{k}" for k in range(8)] + text[104:])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hits = spark.createDataFrame([(n, 96, 0, 96, 7) for n in range(60)], passages.HITS)
+    nothing = spark.createDataFrame([], passages.PASSAGES)
+    every, some = (workspace.keep(passages._open_pairs(df, hits, nothing, workspace, every=e), "pairs") for e in (True, False))
+    assert every.count() == 60 * 59 // 2
+    pairs = {(r["doc_id"], r["source"]) for r in some.collect()}
+    assert 0 < len(pairs) <= 6 * 10 * 9 // 2 and all((a - b) % 6 == 0 for a, b in pairs)
+    found = [covered_words(passages._chained(df, passages._chain_rows(p, every=True), workspace)) for p in (every, some)]
+    assert found[0] == found[1] and len({d for d, _ in found[0]}) > 20
+
+
+@pytest.mark.parametrize("part", [4096, 9])
+def test_passages_of_all_pairs_of_runs(spark, workspace, monkeypatch, part):
+    """Texts of runs of one word and of changed copies. All pairs find passages besides, none of whose
+    seeds is asked for, so a few words may be theirs alone."""
+    draw = np.random.default_rng(12)
+    docs = {}
+    for n in range(90):
+        text = []
+        for _ in range(6):
+            text += [f"r{draw.integers(0, 9)}"] * int(draw.integers(25, 60))
+            text += [f"o{x}" for x in draw.integers(0, 10**9, draw.integers(0, 4))]
+        docs[n] = text
+    line = [f"c{k}" for k in range(12)]
+    for n in range(90, 130):
+        text = [f"t{n % 4}_{k}" if draw.random() > 0.07 else f"x{n}_{k}" for k in range(90)]
+        docs[n] = text[:30] + line + text[30 : 30 + int(draw.integers(20, 60))] + [f"y{n}_{k}" for k in range(30)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    monkeypatch.setattr(passages, "PART", part)
+    found = covered_words(passages.find_passages(df, workspace))
+    all_pairs = passages._open_pairs
+    monkeypatch.setattr(passages, "_open_pairs", lambda *args, every: all_pairs(*args, every=True))
+    expected = covered_words(passages.find_passages(df, workspace))
+    lost = expected - found
+    assert found <= expected and len(lost) < 0.005 * len(expected) and not [d for d, _ in lost if d >= 90]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.lists(st.sampled_from(list(b" \t\n\r\v\f\x1c\x85\x00AZbz\xc3\xa9")), max_size=14).map(bytes), max_size=6))
+def test_word_hashes(texts):
+    found, lengths = word_hashes(texts)
+    split = [(t or b"").lower().split() for t in texts]
+    assert found.tolist() == [xxhash.xxh3_64_intdigest(w) for s in split for w in s] and lengths.tolist() == list(map(len, split))
+
+
 def test_cut():
     assert passages.cut(b" a  b c\nd e ", [(1, 3)]) == b" a  d e "
     assert passages.cut(b"a b c", [(0, 2), (1, 3)]) == b""
