@@ -468,6 +468,49 @@ def test_counts_of_decisions():
             assert np.array_equal(table[k, bit], np.bincount(slots[k, bits == bit], minlength=table.shape[2]))
 
 
+def test_tables_hold_every_word_as_often_as_it_stands_there(spark):
+    buckets = [{b"red": 1, b"read": 7}, {}, {b"reed": 1 << 33}]
+    rows = [(b" ".join(b), np.array([*b.values()], np.int64).tobytes()) for b in buckets]
+    odds = lm._tables(spark.createDataFrame(rows, "words binary, counts binary").repartition(2))
+    counts = np.zeros((len(lm.ORDERS), 2, 1 << lm.TABLE_BITS))
+    for word, times in (pair for b in buckets for pair in b.items()):
+        slots, bits, _, _ = lm.decisions([word])
+        for k in range(len(lm.ORDERS)):
+            np.add.at(counts[k], (bits, slots[k]), times)
+    assert np.allclose(odds, np.log((counts[:, 1] + lm.PRIOR) / (counts[:, 0] + lm.PRIOR)), rtol=1e-5)
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_pairs_are_counted_over_all_training_texts(spark, workspace, monkeypatch, buckets):
+    monkeypatch.setattr(lm, "SLICE", 60)
+    rows = [(n, " ".join("abcde"[(n * k) % 5] * (1 + k % 2) for k in range(n))) for n in range(30)] + [(30, None), (31, "")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    slices = lm._slices(documents, F.col("doc_id") % 3 != 0, workspace)
+    found = lm._pair_counts(slices, buckets, workspace).collect()
+    want, texts = Counter(), {i: [None, *words(t), lm.END] for i, t in rows}
+    for i, text in texts.items():
+        want.update(zip(text, text[1:]) if i % 3 else ())
+    assert len(slices.collect()) > 3
+    for row in slices.collect():
+        pairs = {p for i in row["doc_id"] for p in zip(texts[i], texts[i][1:])}
+        tokens = sorted({w for p in pairs for w in p if w})
+        at = {w: n for n, w in enumerate([*tokens, None])}
+        hashes = lm.token_hashes(tokens)
+        codes = {int(lm.pair_codes(hashes, np.array([at[w]]), np.array([at[b]]))[0]): want[b, w] for b, w in pairs}
+        parts = sorted((r["bucket"], r["counts"]) for r in found if r["number"] == row["slice"])
+        assert [b for b, _ in parts] == sorted({code * buckets >> 64 for code in codes})
+        assert lm.from_planes([c for _, c in parts], np.int64).tolist() == [codes[c] for c in sorted(codes)]
+
+
+def test_word_order_counts_across_texts(spark, workspace):
+    """Words that followed each other in other texts are likelier than the same words in another order."""
+    told = [f"w{n} v{n} u{n}" for n in range(40)]
+    rows = [(n, text, True) for n, text in enumerate(told * 3)] + [(200, " ".join(told), False), (201, " ".join(" ".join(told).split()[::-1]), False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    score = {r["doc_id"]: r["score"] for r in lm.score_texts(df, F.col("learn"), workspace).collect()}
+    assert score[200] > score[201] + 20
+
+
 def test_weights_come_from_every_word(spark):
     """Also from those beyond any number of words of a bucket."""
     odds = np.random.default_rng(2).normal(size=(len(lm.ORDERS), 1 << lm.TABLE_BITS)).astype(np.float32)
