@@ -1,5 +1,6 @@
 from datetime import UTC, date, datetime
 from decimal import Decimal
+from fractions import Fraction
 from zoneinfo import ZoneInfo
 
 import pytest
@@ -109,3 +110,21 @@ def test_numbers_of_any_size(spark):
     assert column(spark, parse.is_whole, texts) == whole
     far = ["1e" + "9" * 30, "1e-" + "9" * 30, "0e-" + "9" * 30]
     assert column(spark, parse.is_whole, far) == [True, False, True]
+
+
+def test_plain_numbers_are_told_by_a_short_pattern(spark):
+    """Whatever the form, the sign and wholeness are those of the number."""
+    plain = ["0", "00", "7", "007", "10" * 40, "0.0", "0.10", "1.", "12.50", "3.000"]
+    others = [" 7", "7 ", "7\n", "+7", "-0.5", "-0", ".5", ".", "", "1e2", "25e-1", "250e-1", "0e9", "1.5e1", "x", "1 2", "\u0663", "1.2.3", None]
+    want = []
+    for value in plain + others:
+        try:
+            number = Fraction(value.strip()) if value and value.isascii() else None
+        except ValueError:
+            number = None
+        want.append((None, None) if number is None else ((number > 0) - (number < 0), number.denominator == 1))
+    signs, whole = (column(spark, tell, plain + others) for tell in (parse.number_sign, parse.is_whole))
+    assert list(zip(signs, whole)) == want
+    for tell, short in ((parse.number_sign, parse.PLAIN), (parse.is_whole, parse.PLAIN_WHOLE)):
+        told = tell(F.col("x"))._jc.toString().replace("\\\\", "\\")
+        assert short in told and told.index(short) < told.index(parse.NUMBER)
