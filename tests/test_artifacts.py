@@ -1,15 +1,19 @@
 """Digests of files as they lie in storage."""
 
+import time
 from datetime import UTC, datetime
 from hashlib import sha256
 from pathlib import Path
 
 import pytest
+from synthetic import synthetic_sales
 
+from checks import warehouse
 from saleskeep.operators.audit import files_digest
 from saleskeep.plans.batch import artifact_integrity, initialize, run_daily_batch, stage_raw
+from saleskeep.plans.store import Store
 from saleskeep.sources import landing
-from saleskeep.workspace import Workspace
+from saleskeep.workspace import PACKED_TEXT, Workspace
 
 BATCH = "BATCH-20260301-080000"
 
@@ -113,3 +117,55 @@ def test_staging_writes_no_copy_of_what_was_landed(landed, monkeypatch):
     stage_raw(store, BATCH, result["raw_uri"], datetime(2026, 3, 1, 14, tzinfo=UTC))
     after = {r.id_venta: r.raw_row_key for r in store.read("stg_ventas_raw", BATCH).collect()}
     assert after == before and sorted(after.values()) == list(range(1, 40))
+
+
+def test_exported_rejects_can_be_packed(landed, tmp_path):
+    store, _ = landed
+    rejected = store.read("dq_rechazos", BATCH)
+    for _ in range(2):  # the second finds the first
+        landing.quarantine_json(store.spark, rejected, f"{tmp_path}/export", PACKED_TEXT)
+    assert [f.suffixes for f in (tmp_path / "export").glob("part-*")] == [[".json", ".gz"]]
+    lines = sorted(r.value for r in store.spark.read.text(f"{tmp_path}/export").collect())
+    landing.quarantine_json(store.spark, rejected, f"{tmp_path}/plain")
+    assert lines == sorted(r.value for r in store.spark.read.text(f"{tmp_path}/plain").collect()) and len(lines) == 7
+    assert sorted(landing.read_quarantine(store.spark, f"{tmp_path}/export", rejected).collect()) == sorted(rejected.collect())
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(n).getName() for n in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_shuffles_of_written_tables_go(spark, tmp_path):
+    before, name = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = spark.range(1_000).selectExpr("id % 7 AS producto", "id").groupBy("producto").count()
+    assert Workspace(spark, str(tmp_path)).keep(rows, "counted").count() == 7
+    store = Store(spark, f"{tmp_path}/warehouse")
+    store.start()
+    members = rows.selectExpr("CAST(producto AS STRING) AS producto", "'c' AS categoria", "true AS activo")
+    store.replace("productos", members)
+    landing.land_raw(spark, synthetic_sales(spark, 50).repartition(3, "producto"), f"{tmp_path}/raw")
+    left = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < left:  # they go beside the session's work
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(name) == "false"
+
+
+def test_the_warehouse_keeps_no_scratch_tables(spark, tmp_path, monkeypatch):
+    """Nor plain text of what it landed; its rows are those of the sales."""
+    made = {
+        "region": "SELECT 0L r_regionkey, 'ASIA' r_name",
+        "nation": "SELECT 0L n_nationkey, 0L n_regionkey",
+        "customer": "SELECT 1L c_custkey, 0L c_nationkey, 'Customer#1' c_name, 5.0D c_acctbal",
+        "part": "SELECT id p_partkey, 'tea' p_name, 'SMALL' p_type, 3 p_size, 2.5D p_retailprice FROM range(1, 4)",
+        "orders": "SELECT id o_orderkey, 1L o_custkey, timestamp_ntz'1996-05-01' + make_interval(0, 0, 0, id) o_orderdate FROM range(41, 44)",
+        "lineitem": "SELECT o.id l_orderkey, n.id l_linenumber, n.id l_partkey, 4.0D l_quantity FROM range(41, 44) o, range(1, 4) n",
+    }
+    for name, sql in made.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr("saleskeep.workspace.shared_folder", lambda _: f"{tmp_path}/shared")
+    built = warehouse.Warehouse(spark, str(tmp_path))
+    assert built.done.read("fact_ventas").count() == 9
+    assert [f.name for f in (tmp_path / "shared").glob("*/*")] == ["warehouse"]
+    texts = [f.suffixes for f in (tmp_path / "shared").glob("*/warehouse/raw/**/part-*")]
+    assert texts and all(suffixes == [".csv", ".gz"] for suffixes in texts)
