@@ -23,7 +23,7 @@ from saleskeep.plans.views import view as warehouse_view
 from saleskeep.sources import catalog, landing
 from saleskeep.sources import sales as source
 from saleskeep.sources.split_csv import read_split_csv
-from saleskeep.workspace import PACKED, Workspace
+from saleskeep.workspace import PACKED, PACKED_TEXT, Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,7 +129,7 @@ def replace_batch(w: Warehouse) -> DataFrame:
 def quarantine_json(w: Warehouse) -> DataFrame:
     rejected = w.done.read("dq_rechazos", BATCH)
     path = w.workspace.path("quarantine")
-    landing.quarantine_json(w.spark, rejected, path)
+    landing.quarantine_json(w.spark, rejected, path, PACKED_TEXT)
     return landing.read_quarantine(w.spark, path, rejected).drop(*LAYOUT_KEYS)
 
 
